@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fraudlens.operators import ingest
+from fraudlens.operators import compose, ingest, warehouse
 from fraudlens.plans.models import Sources, build_core, build_models, build_staging
 from fraudlens.sources import adapter
 from fraudlens.sources.tables import TableSet, load_tables
@@ -55,6 +56,61 @@ def q_fraud_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.fraud_rules(orders.distinct())
 
 
+def q_daily_slice_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = ingest.ingest_orders(adapter.raw_orders_replayed(load_tables(spark, sf_dir)))
+    return warehouse.daily_slice(orders, "created_date", ORDERS_RUN_DATE)
+
+
+def q_daily_slice_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warehouse.daily_slice(adapter.raw_users(load_tables(spark, sf_dir)), "created_date", USERS_RUN_DATE)
+
+
+def q_daily_slice_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warehouse.daily_slice(adapter.raw_products(load_tables(spark, sf_dir)), "updated_at", PRODUCTS_RUN_DATE)
+
+
+def q_upsert_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, repriced = adapter.raw_products_versions(load_tables(spark, sf_dir))
+    return warehouse.upsert(first, repriced, "product_id")
+
+
+def q_insert_users_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = load_tables(spark, sf_dir)
+    return warehouse.insert_if_absent(adapter.raw_users(t), adapter.user_signups(t), "user_id", ["created_date"])
+
+
+def q_email_styles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    profiles = adapter.customer_profiles(load_tables(spark, sf_dir))
+    return compose.with_email(profiles, F.col("style"), digit="digit").select(
+        "user_id", "first_name", "last_name", "domain", "style", "email"
+    )
+
+
+def q_product_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = adapter.part_name_parts(load_tables(spark, sf_dir))
+    return compose.with_product_name(parts).select("product_id", "category", "product_name")
+
+
+def q_currency_string(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = load_tables(spark, sf_dir)["orders"]
+    valued = orders.select("o_orderkey", F.floor(F.col("o_totalprice") * 1000).cast("bigint").alias("amount_value"))
+    return compose.with_currency(valued, "amount_value")
+
+
+def q_stream_ingest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish the raw events to a fresh topic folder, run the streaming
+    ingest once over it (availableNow) and read the ingested table back."""
+    from fraudlens.session import scratch_dir
+    from fraudlens.sources.topic import publish_orders
+    from fraudlens.streaming.ingest import start_order_ingest
+
+    base = scratch_dir(spark, "stream-ingest")
+    publish_orders(adapter.raw_orders_replayed(load_tables(spark, sf_dir)), f"{base}/topic")
+    streams = start_order_ingest(spark, f"{base}/topic", f"{base}/orders", f"{base}/_checkpoints", available_now=True)
+    streams.await_all()
+    return spark.read.schema(ingest.ORDERS).parquet(f"{base}/orders")
+
+
 QUERIES: dict[str, Query] = {
     "clean_amount": q_clean_amount,
     "ingest_orders": q_ingest_orders,
@@ -71,6 +127,15 @@ QUERIES: dict[str, Query] = {
     "mart_users_fraud_mostly": _model("mart_users_fraud_mostly"),
     "mart_user_product_habit": _model("mart_user_product_habit"),
     "mart_product_payment": _model("mart_product_payment"),
+    "daily_slice_orders": q_daily_slice_orders,
+    "daily_slice_users": q_daily_slice_users,
+    "daily_slice_products": q_daily_slice_products,
+    "upsert_products": q_upsert_products,
+    "insert_users_if_absent": q_insert_users_if_absent,
+    "email_styles": q_email_styles,
+    "product_names": q_product_names,
+    "currency_string": q_currency_string,
+    "stream_ingest_orders": q_stream_ingest_orders,
 }
 
 __all__ = ["QUERIES", "Query", "sources_from_tables", "build_core", "build_staging",

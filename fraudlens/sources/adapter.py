@@ -141,3 +141,57 @@ def raw_products(t: TableSet) -> DataFrame:
     """Warehouse product history: both versions appended (fan-out in marts)."""
     first, repriced = raw_products_versions(t)
     return first.unionByName(repriced)
+
+
+# --- derived inputs of the merge and composition operators ---------------------
+SIGNUP_EARLY_START = "2025-11-10 00:00:00"
+SIGNUP_LATE_START = "2025-11-12 00:00:00"
+
+
+def customer_profiles(t: TableSet) -> DataFrame:
+    """Per customer: key, names, e-mail domain, digit and style choice."""
+    from fraudlens.functions.text import EMAIL_DOMAINS
+
+    key = F.col("c_custkey")
+    return t["customer"].select(
+        user_key(key).alias("user_id"),
+        F.col("c_name").alias("first_name"),
+        F.col("c_mktsegment").alias("last_name"),
+        _pick(EMAIL_DOMAINS, F.col("c_nationkey") % 3).alias("domain"),
+        (key % 9 + 1).cast("int").alias("digit"),
+        (key % 3 + 1).cast("int").alias("style"),
+        _pick(PAYMENT_CYCLE, (key + 1) % 6).alias("default_payment"),
+        (key % 48).cast("int").alias("_hour"),
+    )
+
+
+def user_signups(t: TableSet) -> DataFrame:
+    """A user batch in which every customer signs up twice: first with a
+    ``first.<digit>`` address, two days later with ``last_<initial>``.
+    Inserting it keeps existing users and, per new key, the earlier row."""
+    from fraudlens.operators.compose import with_email
+    from fraudlens.schemas import USERS
+
+    p = customer_profiles(t)
+    early = with_email(p, "first_digit", digit="digit").withColumn(
+        "created_date", F.timestamp_add("HOUR", F.col("_hour"), _ntz(SIGNUP_EARLY_START))
+    )
+    late = with_email(p, "last_initial").withColumn(
+        "created_date", F.timestamp_add("HOUR", F.col("_hour"), _ntz(SIGNUP_LATE_START))
+    )
+    cols = USERS.fieldNames()
+    return early.select(*cols).unionByName(late.select(*cols))
+
+
+def part_name_parts(t: TableSet) -> DataFrame:
+    """Per part: product key, category and three name-part indexes."""
+    from fraudlens.functions.text import CATEGORIES
+
+    key = F.col("p_partkey")
+    return t["part"].select(
+        product_key(key).alias("product_id"),
+        _pick(CATEGORIES, key % 3).alias("category"),
+        F.floor(key / 3).alias("part_a"),
+        F.col("p_size").cast("long").alias("part_b"),
+        F.floor(key / 7).alias("part_c"),
+    )
