@@ -64,10 +64,16 @@ def ingest_orders(raw: DataFrame) -> DataFrame:
 
 
 def order_rejects(raw: DataFrame) -> DataFrame:
-    """The rows :func:`ingest_orders` drops, each with its reason."""
+    """The rows :func:`ingest_orders` drops, each with its reason.
+
+    Every raw column is part of the output.  Besides making the report
+    complete, this keeps the JSON reader parsing all fields: a pruned read
+    would not notice a malformed field it was not asked for, and the same
+    line would then count as corrupt in ingest but not here.
+    """
     checked = _with_checks(raw).withColumn("reason", _reason())
     return checked.filter(F.col("reason").isNotNull()).select(
-        "order_id", "amount", "created_date", "reason", F.col("_raw_line").alias("raw_record")
+        *RAW_ORDER.fieldNames(), "reason", F.col("_raw_line").alias("raw_record")
     )
 
 
