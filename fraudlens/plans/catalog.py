@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudlens.operators import compose, ingest, warehouse
-from fraudlens.plans.models import Sources, build_core, build_models, build_staging
+from fraudlens.plans.models import ModelGraph, Sources, build_models
 from fraudlens.sources import adapter
 from fraudlens.sources.tables import TableSet, load_tables
 from fraudlens.testing.oracle_sql import AS_OF, ORDERS_RUN_DATE, PRODUCTS_RUN_DATE, USERS_RUN_DATE
@@ -25,9 +25,9 @@ def sources_from_tables(t: TableSet) -> Sources:
     """Warehouse sources as the daily loads would have filled them: every
     ingested order (replays included), the user table, both product versions."""
     return Sources(
-        orders=ingest.ingest_orders(adapter.raw_orders_replayed(t)),
-        users=adapter.raw_users(t),
-        products=adapter.raw_products(t),
+        orders=lambda: ingest.ingest_orders(adapter.raw_orders_replayed(t)),
+        users=lambda: adapter.raw_users(t),
+        products=lambda: adapter.raw_products(t),
     )
 
 
@@ -138,5 +138,4 @@ QUERIES: dict[str, Query] = {
     "stream_ingest_orders": q_stream_ingest_orders,
 }
 
-__all__ = ["QUERIES", "Query", "sources_from_tables", "build_core", "build_staging",
-           "ORDERS_RUN_DATE", "USERS_RUN_DATE", "PRODUCTS_RUN_DATE"]
+__all__ = ["QUERIES", "Query", "ModelGraph", "sources_from_tables", "ORDERS_RUN_DATE", "USERS_RUN_DATE", "PRODUCTS_RUN_DATE"]

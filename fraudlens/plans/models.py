@@ -11,7 +11,7 @@ re-reads Parquet instead of recomputing the shuffle chain.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,47 +28,90 @@ MARTS = (
 )
 
 
-@dataclass
 class Sources:
-    """Warehouse source tables: ingested orders, users, products."""
+    """Warehouse source tables: ingested orders, users, products.
 
-    orders: DataFrame
-    users: DataFrame
-    products: DataFrame
+    Each may be given as a DataFrame or as a zero-argument factory; a
+    factory runs on first use, so a model that needs only the orders never
+    builds the user or product inputs.
+    """
+
+    def __init__(self, orders, users, products):
+        self._given = {"orders": orders, "users": users, "products": products}
+        self._built: dict[str, DataFrame] = {}
 
+    def _get(self, name: str) -> DataFrame:
+        if name not in self._built:
+            v = self._given[name]
+            self._built[name] = v() if callable(v) else v
+        return self._built[name]
 
-def build_staging(src: Sources) -> dict[str, DataFrame]:
-    return {
-        "stg_orders": staging.stg_orders(src.orders),
-        "stg_users": staging.stg_users(src.users),
-        "stg_products": staging.stg_products(src.products),
-    }
+    @property
+    def orders(self) -> DataFrame:
+        return self._get("orders")
 
+    @property
+    def users(self) -> DataFrame:
+        return self._get("users")
 
-def build_core(stg: dict[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
-    return {
-        "fct_orders": core.fct_orders(stg["stg_orders"], as_of),
-        "dim_users": core.dim_users(stg["stg_users"], as_of),
-        "dim_products": core.dim_products(stg["stg_products"], as_of),
-    }
+    @property
+    def products(self) -> DataFrame:
+        return self._get("products")
 
 
-def build_marts(c: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    fct, users, products = c["fct_orders"], c["dim_users"], c["dim_products"]
-    return {
-        "mart_payment_critical_time": marts.mart_payment_critical_time(fct),
-        "mart_users_blacklist": marts.mart_users_blacklist(fct, users),
-        "mart_users_fraud_mostly": marts.mart_users_fraud_mostly(fct, users),
-        "mart_user_product_habit": marts.mart_user_product_habit(fct, products, users),
-        "mart_product_payment": marts.mart_product_payment(fct, products),
-    }
+class ModelGraph(Mapping):
+    """``graph[name]`` builds model ``name`` and only what it depends on.
 
+    DataFrames are built once per graph, so two marts taken from one graph
+    share the same fact and dimension plans.
+    """
 
-def build_models(src: Sources, as_of=None) -> dict[str, DataFrame]:
-    """All eleven models as lazy DataFrames."""
-    stg = build_staging(src)
-    c = build_core(stg, as_of)
-    return {**stg, **c, **build_marts(c)}
+    def __init__(self, src: Sources | None = None, as_of=None, core: dict[str, DataFrame] | None = None):
+        self.src = src
+        self.as_of = as_of
+        self._built: dict[str, DataFrame] = dict(core or {})
+
+    def _make(self, name: str) -> DataFrame:
+        g, a = self.__getitem__, self.as_of
+        if name == "stg_orders":
+            return staging.stg_orders(self.src.orders)
+        if name == "stg_users":
+            return staging.stg_users(self.src.users)
+        if name == "stg_products":
+            return staging.stg_products(self.src.products)
+        if name == "fct_orders":
+            return core.fct_orders(g("stg_orders"), a)
+        if name == "dim_users":
+            return core.dim_users(g("stg_users"), a)
+        if name == "dim_products":
+            return core.dim_products(g("stg_products"), a)
+        if name == "mart_payment_critical_time":
+            return marts.mart_payment_critical_time(g("fct_orders"))
+        if name == "mart_users_blacklist":
+            return marts.mart_users_blacklist(g("fct_orders"), g("dim_users"))
+        if name == "mart_users_fraud_mostly":
+            return marts.mart_users_fraud_mostly(g("fct_orders"), g("dim_users"))
+        if name == "mart_user_product_habit":
+            return marts.mart_user_product_habit(g("fct_orders"), g("dim_products"), g("dim_users"))
+        if name == "mart_product_payment":
+            return marts.mart_product_payment(g("fct_orders"), g("dim_products"))
+        raise KeyError(name)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._make(name)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(STAGING + CORE + MARTS)
+
+    def __len__(self) -> int:
+        return len(STAGING + CORE + MARTS)
+
+
+def build_models(src: Sources, as_of=None) -> ModelGraph:
+    """All eleven models, each built lazily on first access."""
+    return ModelGraph(src, as_of)
 
 
 def run_models(spark: SparkSession, src: Sources, out_dir: str, as_of=None, select: tuple[str, ...] | None = None) -> dict[str, str]:
@@ -80,14 +123,14 @@ def run_models(spark: SparkSession, src: Sources, out_dir: str, as_of=None, sele
     """
     out_dir = out_dir.rstrip("/")
     paths: dict[str, str] = {}
-    c = build_core(build_staging(src), as_of)
+    graph = ModelGraph(src, as_of)
     for name in CORE:
         paths[name] = f"{out_dir}/{name}"
-        c[name].write.mode("overwrite").parquet(paths[name])
-    stored = {name: spark.read.parquet(paths[name]) for name in CORE}
-    for name, df in build_marts(stored).items():
+        graph[name].write.mode("overwrite").parquet(paths[name])
+    stored = ModelGraph(core={name: spark.read.parquet(paths[name]) for name in CORE})
+    for name in MARTS:
         if select is not None and name not in select:
             continue
         paths[name] = f"{out_dir}/{name}"
-        df.write.mode("overwrite").parquet(paths[name])
+        stored[name].write.mode("overwrite").parquet(paths[name])
     return paths

@@ -17,6 +17,13 @@ from pyspark.sql import SparkSession
 # partitions of sort-merge joins, coalesce small shuffle partitions).
 SQL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
+    # Broadcast only what is measured small: plan-time size estimates are
+    # guesses (a pruned fact-table scan can look small, a join output is
+    # estimated as a product), so estimate-based broadcast is off and AQE
+    # converts a sort-merge join to a broadcast join only from the real
+    # size of a finished shuffle stage.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
@@ -43,6 +50,10 @@ def get_session(
         # local mode: no web UI (it would open a port), driver holds everything
         builder = builder.config("spark.ui.enabled", "false")
         builder = builder.config("spark.ui.showConsoleProgress", "false")
+        # local runs read single-row-group files (one map task per table);
+        # the local shuffle reader would then run a converted broadcast join
+        # in one task, so read shuffles by partition instead
+        builder = builder.config("spark.sql.adaptive.localShuffleReader.enabled", "false")
         builder = builder.config("spark.driver.memory", os.environ.get("FRAUDLENS_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
