@@ -41,10 +41,16 @@ def load_daily(
     if df.isEmpty():
         return False
     typed = require_not_null(with_schema(df, schema), required_columns(schema), table)
-    out = with_partition_day(typed, ts_col)
-    # no repartition by day: a daily extract is a single day, and clustering
-    # by ``dt`` would funnel it through one task; each task writes its own
-    # files into the day directories it holds
+    # Range-partition on (day, event time) before the partitioned write:
+    # - the range bounds come from a sample, so a day holding a third of the
+    #   rows is cut into several balanced tasks (hash-partitioning by ``dt``
+    #   would send it to one task);
+    # - each task covers a contiguous stretch of days, so a multi-day
+    #   back-fill writes about one file per task instead of one per task per
+    #   day;
+    # - rows land sorted by time, which tightens Parquet min/max statistics
+    #   for the range predicates of the daily slice.
+    out = with_partition_day(typed, ts_col).repartitionByRange(PARTITION_COL, ts_col)
     writer = out.write.partitionBy(PARTITION_COL)
     if mode == "append":
         writer.mode("append").parquet(path)
