@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 # --- fixed values ----------------------------------------------------------
 REPORT_TIME_ZONE = "Asia/Jakarta"     # zone the habit mart formats in
-REPORT_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
-ISO_SECONDS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 # ---------------------------------------------------------------------------
 
 
@@ -27,16 +25,28 @@ def parse_wall_clock(text) -> Column:
     return _col(text).try_cast("timestamp_ntz")
 
 
+def _ntz_text(ts) -> Column:
+    """``yyyy-MM-dd HH:mm:ss[.ffffff]`` of a TIMESTAMP_NTZ value.
+
+    Casting NTZ to STRING never involves a time zone.  ``date_format`` would:
+    it takes a session-zoned TIMESTAMP, so a wall clock inside a daylight-
+    saving gap of the session zone would come out shifted by an hour.
+    """
+    return _col(ts).cast("timestamp_ntz").cast("string")
+
+
 def report_clock(ts) -> Column:
     """Format a stored clock as it is shown in reports: the value is treated
-    as UTC and rendered in Asia/Jakarta (a +7 h shift, kept for parity)."""
+    as UTC and rendered in Asia/Jakarta (a +7 h shift, kept for parity),
+    as ``yyyy-MM-dd HH:mm:ss``."""
     shifted = F.convert_timezone(F.lit("UTC"), F.lit(REPORT_TIME_ZONE), _col(ts))
-    return F.date_format(shifted, REPORT_TS_FORMAT)
+    return F.substring(_ntz_text(shifted), 1, 19)
 
 
 def iso_text(ts) -> Column:
-    """Wall clock -> ``yyyy-MM-ddTHH:mm:ss`` text (wire format of the topic)."""
-    return F.date_format(_col(ts), ISO_SECONDS_FORMAT)
+    """Wall clock -> ISO-8601 text ``yyyy-MM-ddTHH:mm:ss[.ffffff]`` (the wire
+    format of the topic), independent of the session time zone."""
+    return F.regexp_replace(_ntz_text(ts), " ", "T")
 
 
 def as_date(value) -> _dt.date:

@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fraudlens.functions.timefmt import iso_text
 from fraudlens.operators.warehouse import PARTITION_COL, require_not_null, with_partition_day, with_schema
 from fraudlens.schemas import required_columns
 
-JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
 
 def load_daily(
@@ -86,7 +86,7 @@ def write_json_extract(df: DataFrame, path: str) -> str:
     """Daily extract as JSON lines, timestamps as ISO-8601 text."""
     out = df.select(
         *[
-            F.date_format(F.col(f.name), JSON_TS_FORMAT).alias(f.name)
+            iso_text(F.col(f.name)).alias(f.name)
             if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))
             else F.col(f.name)
             for f in df.schema.fields
