@@ -92,9 +92,12 @@ def mart_payment_critical_time(fct: DataFrame) -> DataFrame:
     ).orderBy(F.desc("fraud_orders"))
 
 
-def mart_users_blacklist(fct: DataFrame, dim_users: DataFrame) -> DataFrame:
-    """Every user with orders, totals and a blacklist status."""
-    flags = user_fraud_flags(fct)
+def mart_users_blacklist(fct: DataFrame, dim_users: DataFrame, flags: DataFrame | None = None) -> DataFrame:
+    """Every user with orders, totals and a blacklist status.
+
+    ``flags`` is the per-user aggregate of ``fct`` when already built (the
+    two user marts share it); otherwise it is computed here."""
+    flags = user_fraud_flags(fct) if flags is None else flags
     return flags.join(_users(dim_users), "user_id", "left").select(
         "user_id",
         "first_name",
@@ -107,9 +110,9 @@ def mart_users_blacklist(fct: DataFrame, dim_users: DataFrame) -> DataFrame:
     )
 
 
-def mart_users_fraud_mostly(fct: DataFrame, dim_users: DataFrame) -> DataFrame:
+def mart_users_fraud_mostly(fct: DataFrame, dim_users: DataFrame, flags: DataFrame | None = None) -> DataFrame:
     """Users with at least one fraud order, most fraud first."""
-    flags = user_fraud_flags(fct).filter(F.col("fraud_orders_count") > 0)
+    flags = (user_fraud_flags(fct) if flags is None else flags).filter(F.col("fraud_orders_count") > 0)
     return (
         flags.join(_users(dim_users), "user_id", "left")
         .select(

@@ -27,6 +27,9 @@ MARTS = (
     "mart_product_payment",
 )
 
+# per-user order / fraud totals shared by the two user marts (not a model)
+USER_FLAGS = "user_fraud_flags"
+
 
 class Sources:
     """Warehouse source tables: ingested orders, users, products.
@@ -87,16 +90,22 @@ class ModelGraph(Mapping):
             return core.dim_products(g("stg_products"), a)
         if name == "mart_payment_critical_time":
             return marts.mart_payment_critical_time(g("fct_orders"))
+        if name == USER_FLAGS:
+            return marts.user_fraud_flags(g("fct_orders"))
         if name == "mart_users_blacklist":
-            return marts.mart_users_blacklist(g("fct_orders"), g("dim_users"))
+            return marts.mart_users_blacklist(g("fct_orders"), g("dim_users"), g(USER_FLAGS))
         if name == "mart_users_fraud_mostly":
-            return marts.mart_users_fraud_mostly(g("fct_orders"), g("dim_users"))
+            return marts.mart_users_fraud_mostly(g("fct_orders"), g("dim_users"), g(USER_FLAGS))
         if name == "mart_user_product_habit":
             return marts.mart_user_product_habit(g("fct_orders"), g("dim_products"), g("dim_users"))
         if name == "mart_product_payment":
             return marts.mart_product_payment(g("fct_orders"), g("dim_products"))
         raise KeyError(name)
 
+    def provide(self, name: str, df: DataFrame) -> None:
+        """Use ``df`` (e.g. a stored table) for node ``name`` from now on."""
+        self._built[name] = df
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
             self._built[name] = self._make(name)
@@ -128,6 +137,10 @@ def run_models(spark: SparkSession, src: Sources, out_dir: str, as_of=None, sele
         paths[name] = f"{out_dir}/{name}"
         graph[name].write.mode("overwrite").parquet(paths[name])
     stored = ModelGraph(core={name: spark.read.parquet(paths[name]) for name in CORE})
+    # the per-user totals feed two marts: aggregate the fact table once
+    flags_path = f"{out_dir}/_{USER_FLAGS}"
+    stored[USER_FLAGS].write.mode("overwrite").parquet(flags_path)
+    stored.provide(USER_FLAGS, spark.read.parquet(flags_path))
     for name in MARTS:
         if select is not None and name not in select:
             continue
