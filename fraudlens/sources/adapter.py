@@ -17,8 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fraudlens.functions.text import currency_text, product_key, user_key
-from fraudlens.functions.timefmt import iso_text
+from fraudlens.functions.text import product_key, user_key
 from fraudlens.sources.tables import TableSet
 
 # --- fixed values of the derivation -----------------------------------------
@@ -43,11 +42,22 @@ def _pick(values: list[str], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _sql_pick(values: list[str], index_sql: str) -> str:
+    """SQL ``values[index]`` for a non-negative integer expression."""
+    return f"element_at(array({', '.join(_sql_str(v) for v in values)}), CAST(({index_sql}) + 1 AS INT))"
+
+
 def raw_orders_flagged(t: TableSet) -> DataFrame:
     """Raw order events plus a ``replayed`` flag (events published twice).
 
     orders is joined to customer first (orders-sized shuffle on custkey),
     then to lineitem on orderkey, so the lineitem-sized side is shuffled once.
+    The event columns are SQL expressions (``selectExpr``): one call builds
+    the whole projection instead of hundreds of small Column objects.
     """
     orders = t["orders"].select("o_orderkey", "o_custkey", "o_orderdate")
     customer = t["customer"].select("c_custkey", "c_nationkey")
@@ -55,33 +65,24 @@ def raw_orders_flagged(t: TableSet) -> DataFrame:
     li = t["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
     j = li.join(buyer, li.l_orderkey == buyer.o_orderkey)
 
-    k = F.col("l_orderkey")
-    line = F.col("l_linenumber")
-    price_scale = F.when((k % 40).isin(0, 2), F.lit(5000)).otherwise(F.lit(400))
-    amount_value = F.floor(F.col("l_extendedprice") * price_scale).cast("bigint")
-    nation_slot = F.col("c_nationkey") % 9
-    hour = ((k * 7 + line * 5) % 24).cast("int")
-
-    return j.select(
-        F.concat_ws("-", k.cast("string"), line.cast("string"), F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")).alias("order_id"),
-        user_key(F.col("o_custkey")).alias("user_id"),
-        product_key(F.col("l_partkey")).alias("product_id"),
-        (F.col("l_quantity").cast("int") * F.when(k % 40 == 1, F.lit(10)).otherwise(F.lit(2))).alias("quantity"),
-        F.when(k % 97 == 0, F.lit(EMPTY_AMOUNT))
-        .when(k % 101 == 0, F.lit(OVERSIZED_AMOUNT))
-        .otherwise(currency_text(amount_value))
-        .alias("amount"),
-        _pick(PAYMENT_CYCLE, (k + line) % 6).alias("payment_method"),
-        F.when(k % 103 == 0, F.lit(None).cast("string"))
-        .when(nation_slot < 6, F.lit("ID"))
-        .when(nation_slot == 6, F.lit("US"))
-        .when(nation_slot == 7, F.lit("SG"))
-        .otherwise(F.lit("MY"))
-        .alias("country"),
-        F.when(k % 107 == 0, F.lit(BAD_DATE))
-        .otherwise(iso_text(F.timestamp_add("HOUR", hour, F.col("o_orderdate").cast("timestamp_ntz"))))
-        .alias("created_date"),
-        (k % 50 == 0).alias("replayed"),
+    k = "l_orderkey"
+    amount_value = f"CAST(floor(l_extendedprice * CASE WHEN {k} % 40 IN (0, 2) THEN 5000 ELSE 400 END) AS BIGINT)"
+    event_clock = f"timestampadd(HOUR, CAST(({k} * 7 + l_linenumber * 5) % 24 AS INT), CAST(o_orderdate AS TIMESTAMP_NTZ))"
+    return j.selectExpr(
+        "concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), "
+        "CAST(l_partkey AS STRING), CAST(l_suppkey AS STRING)) AS order_id",
+        "concat('U', CAST(o_custkey AS STRING)) AS user_id",
+        "concat('P', CAST(l_partkey AS STRING)) AS product_id",
+        f"CAST(l_quantity AS INT) * CASE WHEN {k} % 40 = 1 THEN 10 ELSE 2 END AS quantity",
+        f"CASE WHEN {k} % 97 = 0 THEN {_sql_str(EMPTY_AMOUNT)} WHEN {k} % 101 = 0 THEN {_sql_str(OVERSIZED_AMOUNT)} "
+        f"ELSE concat('Rp.', format_number({amount_value}, 0)) END AS amount",
+        f"{_sql_pick(PAYMENT_CYCLE, f'({k} + l_linenumber) % 6')} AS payment_method",
+        f"CASE WHEN {k} % 103 = 0 THEN CAST(NULL AS STRING) WHEN c_nationkey % 9 < 6 THEN 'ID' "
+        "WHEN c_nationkey % 9 = 6 THEN 'US' WHEN c_nationkey % 9 = 7 THEN 'SG' ELSE 'MY' END AS country",
+        # the wall clock as ISO text: NTZ -> STRING involves no time zone
+        f"CASE WHEN {k} % 107 = 0 THEN {_sql_str(BAD_DATE)} "
+        f"ELSE regexp_replace(CAST({event_clock} AS STRING), ' ', 'T') END AS created_date",
+        f"{k} % 50 = 0 AS replayed",
     )
 
 
@@ -104,15 +105,23 @@ def raw_orders_replayed(t: TableSet) -> DataFrame:
 
 def raw_users(t: TableSet) -> DataFrame:
     """Operational user table; every fifth customer is absent (left-join misses)."""
-    c = t["customer"]
-    key = F.col("c_custkey")
-    return c.filter(key % 5 != 0).select(
-        user_key(key).alias("user_id"),
-        F.col("c_name").alias("first_name"),
-        F.col("c_mktsegment").alias("last_name"),
-        F.lower(F.concat(F.col("c_name"), F.lit("@gmail.com"))).alias("email"),
-        _pick(DEFAULT_PAYMENT_CYCLE, key % 3).alias("default_payment"),
-        F.timestamp_add("HOUR", (key % 720).cast("int"), _ntz(USER_CLOCK_START)).alias("created_date"),
+    return t["customer"].filter("c_custkey % 5 <> 0").selectExpr(
+        "concat('U', CAST(c_custkey AS STRING)) AS user_id",
+        "c_name AS first_name",
+        "c_mktsegment AS last_name",
+        "lower(concat(c_name, '@gmail.com')) AS email",
+        f"{_sql_pick(DEFAULT_PAYMENT_CYCLE, 'c_custkey % 3')} AS default_payment",
+        f"timestampadd(HOUR, CAST(c_custkey % 720 AS INT), TIMESTAMP_NTZ {_sql_str(USER_CLOCK_START)}) AS created_date",
+    )
+
+
+def _product_version(p: DataFrame, keep: str, price_scale: int, clock_start: str) -> DataFrame:
+    return p.filter(keep).selectExpr(
+        "concat('P', CAST(p_partkey AS STRING)) AS product_id",
+        "p_name AS product_name",
+        "p_type AS category",
+        f"CAST(floor(p_retailprice * {price_scale}) AS BIGINT) AS price",
+        f"timestampadd(HOUR, CAST(p_partkey % 240 AS INT), TIMESTAMP_NTZ {_sql_str(clock_start)}) AS updated_at",
     )
 
 
@@ -123,21 +132,8 @@ def raw_products_versions(t: TableSet) -> tuple[DataFrame, DataFrame]:
     every tenth part is repriced later with a newer updated_at.
     """
     p = t["part"]
-    key = F.col("p_partkey")
-    first = p.filter(key % 7 != 0).select(
-        product_key(key).alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        F.floor(F.col("p_retailprice") * 1000).cast("bigint").alias("price"),
-        F.timestamp_add("HOUR", (key % 240).cast("int"), _ntz(PRODUCT_CLOCK_START)).alias("updated_at"),
-    )
-    repriced = p.filter(key % 10 == 1).select(
-        product_key(key).alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        F.floor(F.col("p_retailprice") * 1100).cast("bigint").alias("price"),
-        F.timestamp_add("HOUR", (key % 240).cast("int"), _ntz(PRODUCT_REPRICE_START)).alias("updated_at"),
-    )
+    first = _product_version(p, "p_partkey % 7 <> 0", 1000, PRODUCT_CLOCK_START)
+    repriced = _product_version(p, "p_partkey % 10 = 1", 1100, PRODUCT_REPRICE_START)
     return first, repriced
 
 
