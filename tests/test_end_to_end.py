@@ -51,3 +51,33 @@ def test_merges_write_new_versions(spark, tables, tmp_dir):
     assert spark.read.parquet(out).count() == 174
     users_out = merge_users(adapter.raw_users(tables), adapter.user_signups(tables), os.path.join(tmp_dir, "users_v2"))
     assert spark.read.parquet(users_out).count() == 150
+
+
+def test_cli_jobs(spark, tables, tmp_dir):
+    from fraudlens.plans.run import main
+
+    users, products = os.path.join(tmp_dir, "users"), os.path.join(tmp_dir, "products")
+    adapter.raw_users(tables).write.parquet(users)
+    first, repriced = adapter.raw_products_versions(tables)
+    first.write.parquet(products)
+    repriced.write.parquet(os.path.join(tmp_dir, "batch"))
+    wh = os.path.join(tmp_dir, "wh")
+    assert main(["load", "--table", "users", "--source", users, "--warehouse", wh, "--run-date", "2025-11-05"], spark)["loaded"]
+    out = main(["merge", "--table", "products", "--current", products, "--batch", os.path.join(tmp_dir, "batch"),
+                "--out", os.path.join(tmp_dir, "products_v2")], spark)["out"]
+    assert spark.read.parquet(out).count() == 174
+    # a topic with one file, ingested once
+    from fraudlens.sources.topic import publish_orders
+
+    topic = os.path.join(tmp_dir, "topic")
+    publish_orders(adapter.raw_orders(tables), topic)
+    main(["ingest", "--topic", topic, "--orders-out", os.path.join(tmp_dir, "orders"),
+          "--checkpoint", os.path.join(tmp_dir, "ck"), "--once"], spark)
+    from fraudlens.operators.ingest import ingest_orders
+
+    assert spark.read.parquet(os.path.join(tmp_dir, "orders")).count() == ingest_orders(adapter.raw_orders(tables)).count()
+    main(["load", "--table", "orders", "--source", os.path.join(tmp_dir, "orders"), "--warehouse", wh,
+          "--run-date", "1995-02-19"], spark)
+    main(["load", "--table", "products", "--source", out, "--warehouse", wh, "--run-date", "2025-11-05"], spark)
+    paths = main(["models", "--warehouse", wh, "--out", os.path.join(tmp_dir, "models"), "--as-of", AS_OF], spark)
+    assert spark.read.parquet(paths["mart_users_blacklist"]).count() > 0
