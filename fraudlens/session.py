@@ -65,6 +65,20 @@ def get_session(
     return spark
 
 
+def apply_sql_defaults(spark: SparkSession) -> None:
+    """Set the runtime SQL settings the operators are designed around on a
+    session created elsewhere (they are all modifiable at run time)."""
+    for k, v in SQL_DEFAULTS.items():
+        if k in _CALLER_OWNED:
+            continue
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+
+
+# settings left to the caller's session: results never depend on them
+_CALLER_OWNED = {"spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode"}
+
+
 _LOCAL_CKPT: dict[int, str] = {}
 
 
