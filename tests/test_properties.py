@@ -3,6 +3,7 @@ generated rows checked against a row-at-a-time restatement."""
 
 from collections import Counter
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -112,3 +113,38 @@ def test_ingest_matches_row_at_a_time(spark, data):
     got = Counter((r.order_id, r.status) for r in ingest_orders(df).collect())
     want = Counter((r["order_id"], v) for r in data if (v := verdict(r)) is not None)
     assert got == want
+
+
+keyed_rows = st.lists(st.tuples(st.sampled_from(["k1", "k2", "k3", "k4", "k5"]), st.integers(0, 9), st.integers(0, 99)), max_size=25)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(keyed_rows, keyed_rows)
+def test_merges_match_row_at_a_time(spark, target_rows, batch_rows):
+    # target has unique keys, as a keyed table does
+    target_map = {}
+    for k, v, pos in target_rows:
+        target_map.setdefault(k, (k, v, pos))
+    schema = "k string, v int, pos int"
+    target = spark.createDataFrame(list(target_map.values()), schema)
+    batch = spark.createDataFrame(batch_rows, schema)
+
+    # insert-if-absent: keep the target, add the first batch row (lowest pos,
+    # then lowest v) of every new key
+    want = dict(target_map)
+    for k, v, pos in sorted(batch_rows, key=lambda r: (r[2], r[1])):
+        want.setdefault(k, (k, v, pos))
+    got = warehouse.insert_if_absent(target, batch, "k", ["pos"]).collect()
+    assert sorted(tuple(r) for r in got) == sorted(want.values())
+
+    # upsert: batch rows replace / add; duplicate batch keys are an error
+    keys = [k for k, _, _ in batch_rows]
+    if len(keys) != len(set(keys)):
+        with pytest.raises(ValueError):
+            warehouse.upsert(target, batch, "k")
+    else:
+        want = dict(target_map)
+        for k, v, pos in batch_rows:
+            want[k] = (k, v, pos)
+        got = warehouse.upsert(target, batch, "k").collect()
+        assert sorted(tuple(r) for r in got) == sorted(want.values())
