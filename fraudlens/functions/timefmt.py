@@ -16,13 +16,20 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# an ISO date-time starts with a full yyyy-MM-dd date
+ISO_DATE_PREFIX = "^[0-9]{4}-[0-9]{2}-[0-9]{2}"
+
+
 def parse_wall_clock(text) -> Column:
     """ISO-8601 text -> TIMESTAMP_NTZ; NULL when it does not parse.
 
     A trailing offset is ignored, the wall clock is kept (as the rule input
-    ``fromisoformat(...).hour`` would see it).
+    ``fromisoformat(...).hour`` would see it).  The text must start with a
+    full ``yyyy-MM-dd`` date: Spark's cast alone would also take ``2025``,
+    ``2025-11`` or ``2025-11-3``, which are not ISO date-times.
     """
-    return _col(text).try_cast("timestamp_ntz")
+    t = _col(text)
+    return F.when(t.rlike(ISO_DATE_PREFIX), t.try_cast("timestamp_ntz"))
 
 
 def _ntz_text(ts) -> Column:

@@ -60,6 +60,11 @@ CASES = [
     ("cnqa", order("cnqa", quantity=None, created_date=f"{DAY}T01:00:00", amount="Rp.100,000,000"), "fraud"),
     ("cnp", order("cnp", payment_method=None, amount="Rp.60,000,000"), "genuine"),
     ("coff", order("coff", created_date=f"{DAY}T03:00:00+07:00", quantity=150), "fraud"),
+    ("cfrac", order("cfrac", created_date=f"{DAY}T04:59:59.999999", quantity=150), "fraud"),
+    ("cdate", order("cdate", created_date=DAY, quantity=150), "fraud"),
+    ("cshort", order("cshort", created_date="2025-11-3T10:00:00"), None),
+    ("cyear", order("cyear", created_date="2025"), None),
+    ("clead", order("clead", created_date=" 2025-11-03T10:00:00"), None),
 ]
 BROKEN_LINE = '{"order_id": "x", "user'
 REPLAYED = order("c20")
@@ -92,8 +97,9 @@ def test_rejects_reasons(topic):
     rej = {(r.order_id, r.reason) for r in order_rejects(topic).collect()}
     assert ("c15", "bad_amount") in rej
     assert ("c17", "bad_date") in rej
+    assert {("cshort", "bad_date"), ("cyear", "bad_date"), ("clead", "bad_date")} <= rej
     assert (None, "bad_json") in rej
-    assert len(rej) == 3
+    assert len(rej) == 6
 
 
 def test_accepted_plus_rejected_is_input(topic):
