@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from fraudlens.functions.amount import amount_value
 from fraudlens.functions.rules import fraud_status
 from fraudlens.functions.timefmt import parse_wall_clock
-from fraudlens.schemas import CORRUPT_COL, ORDERS, RAW_ORDER
+from fraudlens.schemas import CORRUPT_COL, RAW_ORDER
 
 # --- fixed values: reject reasons ------------------------------------------
 BAD_JSON = "bad_json"
@@ -108,8 +108,3 @@ def fraud_rules(orders: DataFrame) -> DataFrame:
         R.rule_anomaly(amount, "quantity").alias("rule_anomaly"),
         R.rule_wallet_limit("payment_method", amount).alias("rule_wallet_limit"),
     )
-
-
-def conform(df: DataFrame, schema=ORDERS) -> DataFrame:
-    """Select the declared columns in declared order with declared types."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

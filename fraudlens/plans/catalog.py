@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from fraudlens.operators import compose, ingest, warehouse
 from fraudlens.plans.models import ModelGraph, Sources, build_models
+from fraudlens.schemas import ORDERS
 from fraudlens.sources import adapter
 from fraudlens.sources.tables import TableSet, load_tables
 from fraudlens.testing.oracle_sql import AS_OF, ORDERS_RUN_DATE, PRODUCTS_RUN_DATE, USERS_RUN_DATE
@@ -108,7 +109,7 @@ def q_stream_ingest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     publish_orders(adapter.raw_orders_replayed(load_tables(spark, sf_dir)), f"{base}/topic")
     streams = start_order_ingest(spark, f"{base}/topic", f"{base}/orders", f"{base}/_checkpoints", available_now=True)
     streams.await_all()
-    return spark.read.schema(ingest.ORDERS).parquet(f"{base}/orders")
+    return spark.read.schema(ORDERS).parquet(f"{base}/orders")
 
 
 QUERIES: dict[str, Query] = {
