@@ -86,13 +86,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared (HDFS / object store) folder there; it is used
-    as-is.  Only when the setting is absent (local tests) a fresh folder under
-    the system temp directory is created and registered with the context.
+    as-is.  Only in local mode, when the setting is absent (tests), a fresh
+    folder under the system temp directory is created and registered with
+    the context; a cluster without the setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getConf().get("spark.checkpoint.dir", None)
     if current:
         return current
+    if not sc.master.startswith("local"):
+        # a machine-local folder is not reachable from other executors
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) for cluster runs")
     key = id(sc._jsc)
     if key not in _LOCAL_CKPT:
         local = tempfile.mkdtemp(prefix="fraudlens-ckpt-")
