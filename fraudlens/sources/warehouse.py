@@ -96,14 +96,16 @@ def write_json_extract(df: DataFrame, path: str) -> str:
     return path
 
 
-def read_json_extract(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_json_extract(spark: SparkSession, path: str, schema: T.StructType, json_array: bool = False) -> DataFrame:
     """Read a JSON extract back with the declared schema (timestamps parsed
-    from their ISO text)."""
+    from their ISO text).  ``json_array=True`` reads files that hold one JSON
+    array of objects each (one file is then parsed by one task, so prefer
+    JSON lines for large extracts)."""
     as_text = T.StructType(
         [
             T.StructField(f.name, T.StringType()) if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)) else f
             for f in schema.fields
         ]
     )
-    raw = spark.read.schema(as_text).json(path)
+    raw = spark.read.schema(as_text).option("multiLine", "true" if json_array else "false").json(path)
     return with_schema(raw, schema)

@@ -138,3 +138,21 @@ def test_latest_by_key(spark):
 def test_partition_column_from_event_time(spark):
     df = spark.createDataFrame([(dt.datetime(2025, 11, 4, 23, 59),)], "created_date timestamp_ntz")
     assert warehouse.with_partition_day(df, "created_date").select(F.col("dt")).first()[0] == dt.date(2025, 11, 4)
+
+
+def test_json_array_extract(spark, tmp_dir):
+    import json
+
+    path = os.path.join(tmp_dir, "array")
+    os.makedirs(path)
+    rows = [
+        {"user_id": "U1", "first_name": "A", "last_name": "B", "email": "a@b", "default_payment": "OVO",
+         "created_date": "2025-11-04T10:00:00"},
+        {"user_id": "U2", "first_name": "C", "last_name": "D", "email": "c@d", "default_payment": "DANA",
+         "created_date": "2025-11-04T11:30:00.250000"},
+    ]
+    with open(os.path.join(path, "users_extract.json"), "w") as f:
+        json.dump(rows, f, indent=2)
+    got = read_json_extract(spark, path, USERS, json_array=True).orderBy("user_id").collect()
+    assert [r.user_id for r in got] == ["U1", "U2"]
+    assert got[1].created_date == dt.datetime(2025, 11, 4, 11, 30, 0, 250000)
