@@ -70,6 +70,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     p.add_argument("--rejects-out")
     p.add_argument("--once", action="store_true", help="process what is on the topic, then stop")
     p.add_argument("--dedup-delay", help="opt-in: drop identical events seen again within this delay")
+    p.add_argument("--single-pass", action="store_true", help="parse the topic once for orders and rejects")
 
     p = sub.add_parser("load", help="daily warehouse load of the day before --run-date")
     p.add_argument("--table", required=True, choices=sorted(TABLES))
@@ -106,7 +107,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     if args.cmd == "ingest":
         streams = start_order_ingest(
             spark, args.topic, args.orders_out, args.checkpoint, rejects_out=args.rejects_out,
-            available_now=args.once, dedup_delay=args.dedup_delay,
+            available_now=args.once, dedup_delay=args.dedup_delay, single_pass=args.single_pass,
         )
         streams.await_all()
         result = {"orders": args.orders_out, "rejects": args.rejects_out}

@@ -69,6 +69,32 @@ class IngestStreams:
                 q.stop()
 
 
+BATCH_COL = "batch_id"
+
+
+def write_both(orders_out: str, rejects_out: str | None):
+    """``foreachBatch`` function of the single-pass mode.
+
+    The micro-batch is parsed once (persisted), then accepted orders and
+    rejects are written to ``<out>/batch_id=<n>``.  A retried batch has the
+    same id and the same input (the source logs its offsets before running
+    it), and overwriting its own folder makes the retry idempotent, so each
+    output stays exactly-once without a second read of the topic.
+    """
+    from pyspark import StorageLevel
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            ingest_orders(batch).write.mode("overwrite").parquet(f"{orders_out}/{BATCH_COL}={batch_id}")
+            if rejects_out:
+                order_rejects(batch).write.mode("overwrite").parquet(f"{rejects_out}/{BATCH_COL}={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return fn
+
+
 def start_order_ingest(
     spark: SparkSession,
     topic_dir: str,
@@ -78,24 +104,35 @@ def start_order_ingest(
     available_now: bool = False,
     dedup_delay: str | None = None,
     max_files_per_trigger: int | None = None,
+    single_pass: bool = False,
 ) -> IngestStreams:
     """Start the ingest stream(s).
 
     ``available_now=True`` processes what is on the topic and stops (batch
-    catch-up, tests); otherwise the topic is polled every 500 ms.  Accepted
-    orders and rejects are two queries with separate checkpoints
-    (``<checkpoint_dir>/orders``, ``<checkpoint_dir>/rejects``), each
-    exactly-once on its own sink.
+    catch-up, tests); otherwise the topic is polled every 500 ms.  By
+    default, accepted orders and rejects are two queries with separate
+    checkpoints (``<checkpoint_dir>/orders``, ``<checkpoint_dir>/rejects``),
+    each exactly-once on its own file sink (with its commit log).
+    ``single_pass=True`` parses the topic once and writes both outputs from
+    one ``foreachBatch`` query into ``batch_id=<n>`` folders (see
+    :func:`write_both`); it does not combine with ``dedup_delay``.
     """
     ensure_dir(spark, topic_dir)
     ckpt = checkpoint_dir.rstrip("/")
 
+    def _trigger(w):
+        return w.trigger(availableNow=True) if available_now else w.trigger(processingTime=POLL_INTERVAL)
+
     def _start(df: DataFrame, out: str, name: str) -> StreamingQuery:
         w = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{ckpt}/{name}")
-        w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=POLL_INTERVAL)
-        return w.start(out)
+        return _trigger(w).start(out)
 
     raw = read_topic_stream(spark, topic_dir, max_files_per_trigger)
+    if single_pass:
+        if dedup_delay:
+            raise ValueError("single_pass does not combine with dedup_delay")
+        w = raw.writeStream.foreachBatch(write_both(orders_out, rejects_out)).option("checkpointLocation", f"{ckpt}/both")
+        return IngestStreams(_trigger(w).start(), None)
     orders = ingest_orders(raw)
     if dedup_delay:
         orders = dedup_replays(orders, dedup_delay)

@@ -64,3 +64,23 @@ def test_opt_in_dedup_drops_replays(spark, tables, tmp_dir):
     s.await_all()
     got = spark.read.schema(ORDERS).parquet(out)
     assert got.count() == ingest_orders(raw).distinct().count()
+
+
+def test_single_pass_mode_equals_two_queries(spark, tables, tmp_dir):
+    topic = os.path.join(tmp_dir, "topic")
+    raw = adapter.raw_orders_replayed(tables)
+    publish_orders(raw, topic)
+    a = {n: os.path.join(tmp_dir, "a", n) for n in ("orders", "rejects", "ckpt")}
+    b = {n: os.path.join(tmp_dir, "b", n) for n in ("orders", "rejects", "ckpt")}
+    start_order_ingest(spark, topic, a["orders"], a["ckpt"], rejects_out=a["rejects"], available_now=True).await_all()
+    s = start_order_ingest(spark, topic, b["orders"], b["ckpt"], rejects_out=b["rejects"], available_now=True,
+                           single_pass=True, max_files_per_trigger=2)
+    s.await_all()
+    two = spark.read.schema(ORDERS).parquet(a["orders"])
+    one = spark.read.parquet(b["orders"]).drop("batch_id")
+    assert _rows(one.select(*ORDERS.fieldNames())) == _rows(two)
+    assert spark.read.parquet(b["rejects"]).count() == spark.read.parquet(a["rejects"]).count()
+    # restart: nothing new, nothing added
+    start_order_ingest(spark, topic, b["orders"], b["ckpt"], rejects_out=b["rejects"], available_now=True,
+                       single_pass=True).await_all()
+    assert spark.read.parquet(b["orders"]).count() == two.count()
