@@ -123,6 +123,19 @@ def build_models(src: Sources, as_of=None) -> ModelGraph:
     return ModelGraph(src, as_of)
 
 
+def stored_graph(spark: SparkSession, core_paths: dict[str, str], broadcast_max_rows: int | None = None) -> ModelGraph:
+    """Model graph over written core tables.  Each dimension is broadcast to
+    the mart joins when its row count is within the bound (see
+    ``operators.joins.checked_broadcast``); the fact table never is."""
+    from fraudlens.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast
+
+    bound = BROADCAST_MAX_ROWS if broadcast_max_rows is None else broadcast_max_rows
+    core_tables = {name: spark.read.parquet(core_paths[name]) for name in CORE}
+    for dim in ("dim_users", "dim_products"):
+        core_tables[dim] = checked_broadcast(core_tables[dim], bound)
+    return ModelGraph(core=core_tables)
+
+
 def run_models(spark: SparkSession, src: Sources, out_dir: str, as_of=None, select: tuple[str, ...] | None = None) -> dict[str, str]:
     """Full refresh: write core tables, then marts built on the written core.
 
@@ -136,7 +149,7 @@ def run_models(spark: SparkSession, src: Sources, out_dir: str, as_of=None, sele
     for name in CORE:
         paths[name] = f"{out_dir}/{name}"
         graph[name].write.mode("overwrite").parquet(paths[name])
-    stored = ModelGraph(core={name: spark.read.parquet(paths[name]) for name in CORE})
+    stored = stored_graph(spark, paths)
     # the per-user totals feed two marts: aggregate the fact table once
     flags_path = f"{out_dir}/_{USER_FLAGS}"
     stored[USER_FLAGS].write.mode("overwrite").parquet(flags_path)

@@ -84,3 +84,15 @@ def test_model_scan_prunes_columns(models):
     plan = models["mart_payment_critical_time"]._jdf.queryExecution().executedPlan().toString()
     # lineitem scan reads only the six columns the adapter needs
     assert "l_shipdate" not in plan and "l_tax" not in plan
+
+
+def test_stored_dims_broadcast_only_under_the_bound(spark, tables, tmp_dir):
+    from fraudlens.plans.models import stored_graph
+
+    paths = run_models(spark, sources_from_tables(tables), os.path.join(tmp_dir, "m"), as_of=AS_OF)
+    small = stored_graph(spark, paths)["mart_user_product_habit"]
+    plan = _plan(small)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    big = stored_graph(spark, paths, broadcast_max_rows=10)["mart_user_product_habit"]
+    assert "BroadcastHashJoin" not in big._jdf.queryExecution().sparkPlan().toString()
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
