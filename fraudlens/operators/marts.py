@@ -67,7 +67,14 @@ def user_fraud_flags(fct: DataFrame) -> DataFrame:
     )
 
 
-def mart_payment_critical_time(fct: DataFrame) -> DataFrame:
+def _ordered(df: DataFrame, ordered: bool, *keys) -> DataFrame:
+    """Apply the model's ORDER BY, or leave rows unordered when the result is
+    written as a table (a stored table keeps no row order, so the global sort,
+    a sampling pass plus a range shuffle, would be wasted)."""
+    return df.orderBy(*keys) if ordered else df
+
+
+def mart_payment_critical_time(fct: DataFrame, ordered: bool = True) -> DataFrame:
     """Per payment method: orders placed 00:00-04:59 and how many were fraud."""
     lo, hi = CRITICAL_HOURS
     per_method = (
@@ -81,7 +88,7 @@ def mart_payment_critical_time(fct: DataFrame) -> DataFrame:
             fraud_loss().alias("total_fraud_loss"),
         )
     )
-    return per_method.select(
+    out = per_method.select(
         "payment_method",
         "total_orders_midnight",
         "genuine_orders",
@@ -89,7 +96,8 @@ def mart_payment_critical_time(fct: DataFrame) -> DataFrame:
         (F.try_divide("fraud_orders", "total_orders_midnight") * 100).alias("fraud_percentage"),
         grouped_number("total_purchasing").alias("total_midnights_transaction"),
         grouped_number("total_fraud_loss").alias("fake_transaction"),
-    ).orderBy(F.desc("fraud_orders"))
+    )
+    return _ordered(out, ordered, F.desc("fraud_orders"))
 
 
 def mart_users_blacklist(fct: DataFrame, dim_users: DataFrame, flags: DataFrame | None = None) -> DataFrame:
@@ -110,26 +118,27 @@ def mart_users_blacklist(fct: DataFrame, dim_users: DataFrame, flags: DataFrame
     )
 
 
-def mart_users_fraud_mostly(fct: DataFrame, dim_users: DataFrame, flags: DataFrame | None = None) -> DataFrame:
+def mart_users_fraud_mostly(
+    fct: DataFrame, dim_users: DataFrame, flags: DataFrame | None = None, ordered: bool = True
+) -> DataFrame:
     """Users with at least one fraud order, most fraud first."""
     flags = (user_fraud_flags(fct) if flags is None else flags).filter(F.col("fraud_orders_count") > 0)
-    return (
-        flags.join(_users(dim_users), "user_id", "left")
-        .select(
-            "user_id",
-            "first_name",
-            "email",
-            "total_orders",
-            grouped_number("total_purchasing").alias("total_transaction"),
-            "fraud_orders_count",
-            grouped_number("total_fraud_loss").alias("fake_transaction"),
-            blacklist_label("fraud_orders_count").alias("blacklist_status"),
-        )
-        .orderBy(F.desc("fraud_orders_count"), F.desc("total_orders"))
+    out = flags.join(_users(dim_users), "user_id", "left").select(
+        "user_id",
+        "first_name",
+        "email",
+        "total_orders",
+        grouped_number("total_purchasing").alias("total_transaction"),
+        "fraud_orders_count",
+        grouped_number("total_fraud_loss").alias("fake_transaction"),
+        blacklist_label("fraud_orders_count").alias("blacklist_status"),
     )
+    return _ordered(out, ordered, F.desc("fraud_orders_count"), F.desc("total_orders"))
 
 
-def mart_user_product_habit(fct: DataFrame, dim_products: DataFrame, dim_users: DataFrame) -> DataFrame:
+def mart_user_product_habit(
+    fct: DataFrame, dim_products: DataFrame, dim_users: DataFrame, ordered: bool = True
+) -> DataFrame:
     """How often each user bought each product, and when last."""
     habit = fct.groupBy("user_id", "product_id").agg(
         n_orders().alias("total_orders"),
@@ -137,7 +146,7 @@ def mart_user_product_habit(fct: DataFrame, dim_products: DataFrame, dim_users:
         n_fraud().alias("fraud_orders_count"),
         F.max("order_date").alias("new_transaction"),
     )
-    return (
+    out = (
         habit.join(_products(dim_products), "product_id", "left")
         .join(_users(dim_users), "user_id", "left")
         .select(
@@ -151,8 +160,8 @@ def mart_user_product_habit(fct: DataFrame, dim_products: DataFrame, dim_users:
             "fraud_orders_count",
             report_clock("new_transaction").alias("latest_transaction"),
         )
-        .orderBy(F.desc("total_orders"), F.asc_nulls_last("first_name"), F.asc("user_id"))
     )
+    return _ordered(out, ordered, F.desc("total_orders"), F.asc_nulls_last("first_name"), F.asc("user_id"))
 
 
 def mart_product_payment(fct: DataFrame, dim_products: DataFrame) -> DataFrame:

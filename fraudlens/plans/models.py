@@ -69,9 +69,13 @@ class ModelGraph(Mapping):
     share the same fact and dimension plans.
     """
 
-    def __init__(self, src: Sources | None = None, as_of=None, core: dict[str, DataFrame] | None = None):
+    def __init__(self, src: Sources | None = None, as_of=None, core: dict[str, DataFrame] | None = None,
+                 ordered: bool = True):
         self.src = src
         self.as_of = as_of
+        # apply the marts' ORDER BY (True for returned DataFrames; a graph
+        # whose marts are written as tables skips the global sorts)
+        self.ordered = ordered
         self._built: dict[str, DataFrame] = dict(core or {})
 
     def _make(self, name: str) -> DataFrame:
@@ -88,16 +92,17 @@ class ModelGraph(Mapping):
             return core.dim_users(g("stg_users"), a)
         if name == "dim_products":
             return core.dim_products(g("stg_products"), a)
+        o = self.ordered
         if name == "mart_payment_critical_time":
-            return marts.mart_payment_critical_time(g("fct_orders"))
+            return marts.mart_payment_critical_time(g("fct_orders"), ordered=o)
         if name == USER_FLAGS:
             return marts.user_fraud_flags(g("fct_orders"))
         if name == "mart_users_blacklist":
             return marts.mart_users_blacklist(g("fct_orders"), g("dim_users"), g(USER_FLAGS))
         if name == "mart_users_fraud_mostly":
-            return marts.mart_users_fraud_mostly(g("fct_orders"), g("dim_users"), g(USER_FLAGS))
+            return marts.mart_users_fraud_mostly(g("fct_orders"), g("dim_users"), g(USER_FLAGS), ordered=o)
         if name == "mart_user_product_habit":
-            return marts.mart_user_product_habit(g("fct_orders"), g("dim_products"), g("dim_users"))
+            return marts.mart_user_product_habit(g("fct_orders"), g("dim_products"), g("dim_users"), ordered=o)
         if name == "mart_product_payment":
             return marts.mart_product_payment(g("fct_orders"), g("dim_products"))
         raise KeyError(name)
@@ -123,17 +128,20 @@ def build_models(src: Sources, as_of=None) -> ModelGraph:
     return ModelGraph(src, as_of)
 
 
-def stored_graph(spark: SparkSession, core_paths: dict[str, str], broadcast_max_rows: int | None = None) -> ModelGraph:
+def stored_graph(
+    spark: SparkSession, core_paths: dict[str, str], broadcast_max_rows: int | None = None, ordered: bool = True
+) -> ModelGraph:
     """Model graph over written core tables.  Each dimension is broadcast to
     the mart joins when its row count is within the bound (see
-    ``operators.joins.checked_broadcast``); the fact table never is."""
+    ``operators.joins.checked_broadcast``); the fact table never is.
+    ``ordered=False`` leaves out the marts' global sorts (for table writes)."""
     from fraudlens.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast
 
     bound = BROADCAST_MAX_ROWS if broadcast_max_rows is None else broadcast_max_rows
     core_tables = {name: spark.read.parquet(core_paths[name]) for name in CORE}
     for dim in ("dim_users", "dim_products"):
         core_tables[dim] = checked_broadcast(core_tables[dim], bound)
-    return ModelGraph(core=core_tables)
+    return ModelGraph(core=core_tables, ordered=ordered)
 
 
 def run_models(spark: SparkSession, src: Sources, out_dir: str, as_of=None, select: tuple[str, ...] | None = None) -> dict[str, str]:
@@ -149,7 +157,8 @@ def run_models(spark: SparkSession, src: Sources, out_dir: str, as_of=None, sele
     for name in CORE:
         paths[name] = f"{out_dir}/{name}"
         graph[name].write.mode("overwrite").parquet(paths[name])
-    stored = stored_graph(spark, paths)
+    # marts are written as tables, which keep no row order: no global sorts
+    stored = stored_graph(spark, paths, ordered=False)
     # the per-user totals feed two marts: aggregate the fact table once
     flags_path = f"{out_dir}/_{USER_FLAGS}"
     stored[USER_FLAGS].write.mode("overwrite").parquet(flags_path)
