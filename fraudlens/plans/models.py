@@ -159,13 +159,13 @@ def run_models(spark: SparkSession, src: Sources, out_dir: str, as_of=None, sele
         graph[name].write.mode("overwrite").parquet(paths[name])
     # marts are written as tables, which keep no row order: no global sorts
     stored = stored_graph(spark, paths, ordered=False)
-    # the per-user totals feed two marts: aggregate the fact table once
-    flags_path = f"{out_dir}/_{USER_FLAGS}"
-    stored[USER_FLAGS].write.mode("overwrite").parquet(flags_path)
-    stored.provide(USER_FLAGS, spark.read.parquet(flags_path))
-    for name in MARTS:
-        if select is not None and name not in select:
-            continue
+    wanted = [name for name in MARTS if select is None or name in select]
+    if {"mart_users_blacklist", "mart_users_fraud_mostly"} <= set(wanted):
+        # the per-user totals feed two marts: aggregate the fact table once
+        flags_path = f"{out_dir}/_{USER_FLAGS}"
+        stored[USER_FLAGS].write.mode("overwrite").parquet(flags_path)
+        stored.provide(USER_FLAGS, spark.read.parquet(flags_path))
+    for name in wanted:
         paths[name] = f"{out_dir}/{name}"
         stored[name].write.mode("overwrite").parquet(paths[name])
     return paths

@@ -96,3 +96,11 @@ def test_stored_dims_broadcast_only_under_the_bound(spark, tables, tmp_dir):
     big = stored_graph(spark, paths, broadcast_max_rows=10)["mart_user_product_habit"]
     assert "BroadcastHashJoin" not in big._jdf.queryExecution().sparkPlan().toString()
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
+
+
+def test_run_models_select(spark, tables, tmp_dir):
+    out = os.path.join(tmp_dir, "sel")
+    paths = run_models(spark, sources_from_tables(tables), out, as_of=AS_OF, select=("mart_payment_critical_time",))
+    assert set(paths) == set(CORE) | {"mart_payment_critical_time"}
+    assert not os.path.exists(os.path.join(out, "_user_fraud_flags"))
+    assert spark.read.parquet(paths["mart_payment_critical_time"]).count() == 6
