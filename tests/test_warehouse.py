@@ -156,3 +156,21 @@ def test_json_array_extract(spark, tmp_dir):
     got = read_json_extract(spark, path, USERS, json_array=True).orderBy("user_id").collect()
     assert [r.user_id for r in got] == ["U1", "U2"]
     assert got[1].created_date == dt.datetime(2025, 11, 4, 11, 30, 0, 250000)
+
+
+def test_backfill_writes_about_one_file_per_task(spark, tables, tmp_dir):
+    from fraudlens.plans.loads import backfill, table_path
+
+    wh = os.path.join(tmp_dir, "wh")
+    users = adapter.raw_users(tables).repartition(8)  # rows of every day in every input task
+    assert backfill("users", users, wh)
+    root = table_path(wh, "users")
+    days = [d for d in os.listdir(root) if d.startswith("dt=")]
+    files = [f for d in days for f in os.listdir(os.path.join(root, d)) if f.endswith(".parquet")]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(days) == users.select(F.to_date("created_date")).distinct().count() > 1
+    # range partitioning on (dt, time): each task covers a contiguous stretch of
+    # days, so files <= days + tasks; hashing or no clustering would give up to
+    # days x input tasks
+    assert len(files) <= len(days) + parts
+    assert read_warehouse(spark, root, USERS).count() == users.count()
