@@ -1,6 +1,7 @@
 """Properties of the operators, on the adapter over sf0.001 and on
 generated rows checked against a row-at-a-time restatement."""
 
+import datetime as dt
 from collections import Counter
 
 import pytest
@@ -148,3 +149,20 @@ def test_merges_match_row_at_a_time(spark, target_rows, batch_rows):
             want[k] = (k, v, pos)
         got = warehouse.upsert(target, batch, "k").collect()
         assert sorted(tuple(r) for r in got) == sorted(want.values())
+
+
+clock_near_midnight = st.builds(
+    lambda day, sec: dt.datetime(2025, 11, 3) + dt.timedelta(days=day, seconds=sec),
+    st.integers(-2, 2),
+    st.one_of(st.integers(0, 5), st.integers(86_394, 86_399), st.integers(0, 86_399)),
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(clock_near_midnight, min_size=1, max_size=40), st.integers(-1, 2))
+def test_daily_slice_matches_calendar_day(spark, clocks, offset):
+    run_date = dt.date(2025, 11, 4) + dt.timedelta(days=offset)
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(clocks)], "i int, ts timestamp_ntz")
+    got = sorted(r.i for r in warehouse.daily_slice(df, "ts", run_date).collect())
+    want = sorted(i for i, c in enumerate(clocks) if c.date() == run_date - dt.timedelta(days=1))
+    assert got == want
