@@ -81,3 +81,19 @@ def test_cli_jobs(spark, tables, tmp_dir):
     main(["load", "--table", "products", "--source", out, "--warehouse", wh, "--run-date", "2025-11-05"], spark)
     paths = main(["models", "--warehouse", wh, "--out", os.path.join(tmp_dir, "models"), "--as-of", AS_OF], spark)
     assert spark.read.parquet(paths["mart_users_blacklist"]).count() > 0
+
+
+def test_single_pass_output_feeds_the_daily_load(spark, tables, tmp_dir):
+    from fraudlens.plans.run import main
+    from fraudlens.sources.topic import publish_orders
+
+    topic = os.path.join(tmp_dir, "topic")
+    publish_orders(adapter.raw_orders_replayed(tables), topic)
+    orders = os.path.join(tmp_dir, "orders")
+    main(["ingest", "--topic", topic, "--orders-out", orders, "--checkpoint", os.path.join(tmp_dir, "ck"),
+          "--rejects-out", os.path.join(tmp_dir, "rejects"), "--once", "--single-pass"], spark)
+    wh = os.path.join(tmp_dir, "wh")
+    assert main(["load", "--table", "orders", "--source", orders, "--warehouse", wh, "--run-date", "1995-02-19"], spark)["loaded"]
+    want = E.queries()["daily_slice_orders"](spark, SF_SMALL)
+    got = warehouse_sources(spark, wh).orders
+    assert _bag(got) == _bag(want)
