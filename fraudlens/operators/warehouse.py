@@ -95,13 +95,13 @@ def duplicate_keys(batch: DataFrame, key: str | list[str]) -> DataFrame:
 def upsert(target: DataFrame, batch: DataFrame, key: str | list[str], check_batch: bool = True) -> DataFrame:
     """Insert new keys, replace rows of existing keys with the batch row.
 
-    ``target ⋉̸ batch ∪ batch``: the anti-join only needs the batch keys, so
-    a small batch is broadcast by the planner and the target is streamed
-    once without a shuffle.  A key twice in one batch is an error (the row
-    to keep would be ambiguous), checked with one small aggregate job.
+    ``target ⋉̸ batch ∪ batch``: the anti-join only needs the batch keys;
+    once their shuffle shows them small, AQE turns it into a broadcast join.
+    A key twice in one batch is an error (the row to keep would be
+    ambiguous), checked with one small aggregate job.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    if check_batch and duplicate_keys(batch, keys).limit(1).count() > 0:
+    if check_batch and not duplicate_keys(batch, keys).isEmpty():
         raise ValueError(f"upsert batch has duplicate keys on {keys}")
     kept = target.join(batch.select(*keys), keys, "left_anti")
     return kept.unionByName(batch.select(*target.columns))

@@ -70,6 +70,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     p.add_argument("--rejects-out")
     p.add_argument("--once", action="store_true", help="process what is on the topic, then stop")
     p.add_argument("--dedup-delay", help="opt-in: drop identical events seen again within this delay")
+    p.add_argument("--dedup-combine", action="store_true", help="with --dedup-delay: drop repeats map-side first")
     p.add_argument("--single-pass", action="store_true", help="parse the topic once for orders and rejects")
     p.add_argument("--max-files-per-trigger", type=int, help="bound each micro-batch (backlog catch-up)")
 
@@ -109,7 +110,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         streams = start_order_ingest(
             spark, args.topic, args.orders_out, args.checkpoint, rejects_out=args.rejects_out,
             available_now=args.once, dedup_delay=args.dedup_delay, single_pass=args.single_pass,
-            max_files_per_trigger=args.max_files_per_trigger,
+            max_files_per_trigger=args.max_files_per_trigger, dedup_combine=args.dedup_combine,
         )
         streams.await_all()
         result = {"orders": args.orders_out, "rejects": args.rejects_out}

@@ -84,3 +84,23 @@ def test_single_pass_mode_equals_two_queries(spark, tables, tmp_dir):
     start_order_ingest(spark, topic, b["orders"], b["ckpt"], rejects_out=b["rejects"], available_now=True,
                        single_pass=True).await_all()
     assert spark.read.parquet(b["orders"]).count() == two.count()
+
+
+def test_dedup_with_map_side_combine(spark, tables, tmp_dir):
+    topic = os.path.join(tmp_dir, "topic")
+    raw = adapter.raw_orders_replayed(tables)
+    publish_orders(raw, topic)
+    # a replay storm: one event (order 1, line 1) published 200 more times
+    from pyspark.sql import functions as F
+
+    one = raw.filter(F.col("order_id").startswith("1-1-"))
+    storm = one.select(F.explode(F.array_repeat(F.struct(*raw.columns), 200)).alias("e")).select("e.*")
+    publish_orders(storm, topic)
+    outs = {}
+    for combine in (False, True):
+        out = os.path.join(tmp_dir, f"orders-{combine}")
+        start_order_ingest(spark, topic, out, os.path.join(tmp_dir, f"ck-{combine}"), available_now=True,
+                           dedup_delay="1 day", dedup_combine=combine).await_all()
+        outs[combine] = spark.read.schema(ORDERS).parquet(out)
+    assert _rows(outs[True]) == _rows(outs[False])
+    assert outs[True].count() == ingest_orders(raw).distinct().count()
