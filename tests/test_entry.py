@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from fraudlens.plans.catalog import QUERIES
 from fraudlens.sources.tables import INPUT_TABLES
 from tests.conftest import SF_SMALL
 
@@ -21,7 +22,7 @@ def test_entry_flagship(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) <= set(E.queries()) & set(E.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -46,7 +47,7 @@ def _bag(tbl):
     return cols, Counter(tuple(_norm(x) for x in r) for r in zip(*data))
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_oracle(spark, duck, name):
     got = E.queries()[name](spark, SF_SMALL).toArrow()
     want = duck.sql(E.oracle_sql()[name]).to_arrow_table()
