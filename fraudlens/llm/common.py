@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,7 +77,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SL
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pa.compute.binary_length(batch.column(text)).fill_null(0).to_pylist()
+        sizes = pc.binary_length(batch.column(text)).fill_null(0).to_pylist()
         at = size = 0
         for i, n in enumerate(sizes):
             if size and size + n > most:

@@ -14,19 +14,26 @@ to hold several texts is decided text by text.
 Only DataFrame operations run here, on the driver and the executors.
 
 Results in odd cases: a null text counts as empty; rows without an id take part
-and lose against any id; among rows of equal id and text the last to land stays;
+and lose against any id; of rows of equal id and text one stays;
 an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudlens.llm.common import restricted, texts_of
 from fraudlens.session import scratch_dir
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk; files take the space they fill, as a store has one set of
+#: files for each partition.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 LANDED = "digest binary, doc_id bigint, locator bigint"
 
 
@@ -34,18 +41,22 @@ def sha256_bytes(text: Column) -> Column:
     return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
-def land(docs: DataFrame, folder: str, digest=sha256_bytes) -> None:
+def located(docs: DataFrame, digest, call: str) -> DataFrame:
+    """Rows with their digest and a locator that no other row has, of another call neither."""
+    locator = F.xxhash64(F.lit(call), F.monotonically_increasing_id())
+    return docs.select(digest(F.col("text")).alias("digest"), "doc_id", locator.alias("locator"), "text")
+
+
+def land(docs: DataFrame, folder: str, digest, call: str) -> None:
     """Append (digest, id, locator) of every row to the landing folder."""
-    docs.select(digest(F.col("text")).alias("digest"), "doc_id", F.monotonically_increasing_id().alias("locator")).write.mode(
-        "append"
-    ).parquet(folder)
+    located(docs, digest, call).drop("text").write.mode("append").parquet(folder)
 
 
 def run_stream(spark: SparkSession, folder: str, checkpoint: str) -> None:
     """Take in everything that has landed since the last run."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, STATE_STORE)
+    before = {name: spark.conf.get(name, None) for name in STATE_CONF}
+    for name, value in STATE_CONF.items():
+        spark.conf.set(name, value)
     try:
         kept = F.max(F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), "locator", "doc_id"))
         query = (
@@ -62,7 +73,8 @@ def run_stream(spark: SparkSession, folder: str, checkpoint: str) -> None:
         )
         query.awaitTermination()
     finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:
@@ -92,7 +104,8 @@ def exact_dedup(
     spark = docs.sparkSession
     docs = texts_of(docs, id_col, text_col)
     base = folder or scratch_dir(spark, "exact-dedup")
-    land(docs, f"{base}/landed", digest)
+    call = uuid.uuid4().hex
+    land(docs, f"{base}/landed", digest, call)
     run_stream(spark, f"{base}/landed", f"{base}/checkpoint")
     rows = spark.read.schema(LANDED).parquet(f"{base}/landed")
     # the state, one row for each digest, is written once and read from files
@@ -109,16 +122,14 @@ def exact_dedup(
     mixed.write.mode("overwrite").parquet(f"{base}/mixed")
     mixed = spark.read.schema("digest binary").parquet(f"{base}/mixed")
     if not mixed.isEmpty():
-        decided = decided.join(mixed, "digest", "left_anti").unionByName(by_full_text(docs, mixed, digest))
+        decided = decided.join(mixed, "digest", "left_anti").unionByName(by_full_text(docs, mixed, digest, call))
     kept = (F.col("locator") == F.col("keep_locator")) & F.col("doc_id").eqNullSafe(F.col("keep_id"))
     return decided.select("doc_id", "locator", "keep_id", "group_size", kept.alias("kept"), "digest")
 
 
-def by_full_text(docs: DataFrame, mixed: DataFrame, digest) -> DataFrame:
+def by_full_text(docs: DataFrame, mixed: DataFrame, digest, call: str) -> DataFrame:
     """Decisions for rows whose digest several texts share, by the texts."""
-    rows = docs.select(
-        digest(F.col("text")).alias("digest"), "doc_id", F.monotonically_increasing_id().alias("locator"), "text"
-    ).join(mixed, "digest", "left_semi")
+    rows = located(docs, digest, call).join(mixed, "digest", "left_semi")
     top = F.max(F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), "locator", "doc_id")).alias("top")
     tops = rows.groupBy("digest", "text").agg(F.count(F.lit(1)).alias("group_size"), top)
     return rows.join(tops, ["digest", "text"]).select(
