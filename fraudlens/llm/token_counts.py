@@ -15,10 +15,14 @@ from __future__ import annotations
 
 import heapq
 import json
+import sys
+import unicodedata
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
+import tokenizers
 from pyspark.sql import DataFrame
 
 from fraudlens.llm.common import map_slices, texts_of
@@ -54,6 +58,22 @@ class MergeCounter:
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.ranks.setdefault(number[a] << 20 | number[b], (rank, number[a + b]))
         self.kept: dict[str, int] = {}
+        self.high = regex.compile("[\u0530-\U0010ffff]")
+        self.newer: regex.Pattern | None = None
+        self.splitter = tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False)
+
+    def pieces(self, text: str) -> list[str]:
+        """Pre-tokens.  The pattern's letter and number classes follow the newest
+        Unicode version; a text with a character that an older version leaves
+        unassigned is cut by the vocabulary's own library."""
+        if not text.isascii() and self.high.search(text):
+            if self.newer is None:
+                every = "".join(chr(c) for c in range(0x530, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000)
+                found = (c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn")
+                self.newer = regex.compile("[" + "".join(map(regex.escape, found)) + "]")
+            if self.newer.search(text):
+                return [text[a:b] for _, (a, b) in self.splitter.pre_tokenize_str(text)]
+        return self.pattern.findall(text)
 
     def merged(self, piece: bytes) -> int:
         """Symbols left of one pre-token."""
@@ -105,7 +125,7 @@ class MergeCounter:
             total = len(parts) - 1
         kept = self.kept
         for part in parts:
-            for piece in self.pattern.findall(part):
+            for piece in self.pieces(part):
                 n = kept.get(piece)
                 if n is None:
                     n = self.merged(piece.encode("utf-8"))
@@ -135,7 +155,7 @@ def token_counts(
         tokens = [counter.count(t) for t in texts]
         return {
             "doc_id": batch.column("doc_id"),
-            "n_bytes": pa.compute.binary_length(batch.column("text")).cast(pa.int64()),
+            "n_bytes": pc.binary_length(batch.column("text")).cast(pa.int64()),
             "n_tokens": tokens,
             "over_limit": [n > limit for n in tokens],
         }
