@@ -12,12 +12,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlens.llm import bpe_codec, exact_dedup, token_counts
+from fraudlens.llm import bpe_codec, exact_dedup, quality, token_counts, toxicity
 from fraudlens.llm.common import read_table, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return quality.quality(read_table(spark, sf_dir, "documents"))
+
+
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return bpe_codec.round_trip(
@@ -37,10 +42,17 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
+    "op3_quality": op3_quality,
     "op4_bpe_codec": op4_bpe_codec,
     "op7_token_counts": op7_token_counts,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {
