@@ -12,12 +12,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlens.llm import bpe_codec, exact_dedup, quality, token_counts, toxicity
+from fraudlens.llm import bpe_codec, decontaminate, exact_dedup, quality, substring_dedup, token_counts, toxicity
 from fraudlens.llm.common import read_table, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return quality.quality(read_table(spark, sf_dir, "documents"))
@@ -37,6 +42,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each contaminated document and the item found in it."""
+    ship_package(spark)
+    return decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -48,14 +59,37 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_quality": op3_quality,
     "op4_bpe_codec": op4_bpe_codec,
     "op7_token_counts": op7_token_counts,
+    "op8_decontaminate": op8_decontaminate,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_substring_dedup": """
+        WITH split AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words
+            FROM documents
+        ), windows AS (
+            SELECT doc_id, i, array_to_string(words[i:i + 34], ' ') AS w
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS i FROM split)
+        ), repeated AS (
+            SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY w) AS n FROM windows) WHERE n > 1
+        ), gone AS (
+            SELECT DISTINCT doc_id, i + j AS p FROM repeated, range(0, 35) AS o(j)
+        ), listed AS (
+            SELECT doc_id, words[p] AS word, p FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS p FROM split)
+        ), kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
+            FROM listed ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+        )
+        SELECT s.doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+               sha256(coalesce(text, '')) AS kept_sha256
+        FROM split AS s LEFT JOIN kept AS k ON s.doc_id = k.doc_id
+    """,
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
