@@ -72,6 +72,15 @@ def restricted(rows: DataFrame, ids: DataFrame, key: str, limit: int = BROADCAST
     return rows.hint("merge").join(ids, key, "left_semi")
 
 
+def without(rows: DataFrame, ids: DataFrame, key: str, limit: int = BROADCAST_IDS) -> DataFrame:
+    """Rows whose ``key`` is not in ``ids``, joined as in ``restricted``; rows
+    without a key stay."""
+    ids = ids.select(key).distinct()
+    if ids.limit(limit + 1).count() <= limit:
+        return rows.join(F.broadcast(ids), key, "left_anti")
+    return rows.hint("merge").join(ids, key, "left_anti")
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each holds about ``most`` bytes of text."""
     for batch in batches:

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlens.llm import bpe_codec, decontaminate, exact_dedup, quality, substring_dedup, token_counts, toxicity
+from fraudlens.llm import bpe_codec, decontaminate, exact_dedup, line_dedup, ngram_join, quality, secret_scan, substring_dedup, token_counts, toxicity
 from fraudlens.llm.common import read_table, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return ngram_join.ngram_join(read_table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return quality.quality(read_table(spark, sf_dir, "documents"))
@@ -35,6 +40,17 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return line_dedup.line_dedup(read_table(spark, sf_dir, "documents"))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings by place and digest; a secret's text isn't copied."""
+    found = secret_scan.secret_scan(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "word_no", F.sha2(F.col("run").cast("binary"), 256).alias("run_sha256"), "score", "secret")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return token_counts.token_counts(
@@ -60,8 +76,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_ngram_join": op2_ngram_join,
     "op3_quality": op3_quality,
     "op4_bpe_codec": op4_bpe_codec,
+    "op5_line_dedup": op5_line_dedup,
+    "op6_secret_scan": op6_secret_scan,
     "op7_token_counts": op7_token_counts,
     "op8_decontaminate": op8_decontaminate,
     "op9_exact_dedup": op9_exact_dedup,
@@ -90,6 +109,31 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(text, '')) AS kept_sha256
         FROM split AS s LEFT JOIN kept AS k ON s.doc_id = k.doc_id
     """,
+    "op2_ngram_join": """
+        WITH RECURSIVE split AS (
+            SELECT doc_id, list_filter(
+                regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS s
+            FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM split WHERE len(words) > 0)
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), shared AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+            FROM shingles AS x JOIN shingles AS y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+        ), links AS (
+            SELECT a, b FROM shared JOIN sizes AS p ON p.doc_id = a JOIN sizes AS q ON q.doc_id = b
+            WHERE 100 * shared.n >= 80 * (p.n + q.n - shared.n)
+        ), reached AS (
+            SELECT a, b FROM links
+            UNION
+            SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+        )
+        SELECT d.doc_id, coalesce(any_value(sizes.n), 0) AS n_shingles, least(d.doc_id, min(reached.b)) AS component_id
+        FROM documents AS d LEFT JOIN sizes USING (doc_id) LEFT JOIN reached ON reached.a = d.doc_id GROUP BY d.doc_id
+    """,
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
