@@ -56,13 +56,12 @@ def _same(x: DataFrame, y: DataFrame) -> bool:
 
 
 def star_pairs(rows: DataFrame, key: str, member: str, most: int, partitions: int) -> DataFrame:
-    """Pairs (a, b) of members that share a bucket, and the members (bucket, b) of
-    large buckets.
+    """Pairs (a, b) of members that share a bucket.
 
     Rows are sorted by bucket and read as a stream.  A bucket of at most ``most``
-    members gives all its pairs; a larger one pairs each member with the first
-    only, and lists its members (bucket not null, a null) for the caller, who
-    sees to the pairs that leaves out.
+    members gives all its pairs; a larger one pairs each member, itself too, with
+    the first (a) only.  Such rows name the bucket, so that the caller can see to the
+    pairs that are left out; it is null in the others.
     """
     kind = dict(rows.dtypes)[member]
     arrow = {"bigint": pa.int64(), "binary": pa.binary()}[kind]
@@ -91,15 +90,13 @@ def star_pairs(rows: DataFrame, key: str, member: str, most: int, partitions: in
                 if own and own[-1] == m:
                     continue
                 if state["large"]:
-                    out.append((None, own[0], m))
-                    out.append((k, None, m))
+                    out.append((k, own[0], m))
                     own[-1] = m  # only the first and the last are needed
                     continue
                 own.append(m)
                 if len(own) > most:
                     state["large"] = True
-                    out.extend((None, own[0], x) for x in own[1:])
-                    out.extend((k, None, x) for x in own)
+                    out.extend((k, own[0], x) for x in own)
                     state["members"] = own = [own[0], m]
 
         def take() -> pa.RecordBatch:
@@ -167,8 +164,8 @@ def close_links(
     return found
 
 
-def across(rows: DataFrame, others: DataFrame | None = None) -> DataFrame:
+def across(rows: DataFrame) -> DataFrame:
     """All pairs of a bucket's members from different components."""
     x = rows.select("bucket", F.col("member").alias("a"), F.col("component").alias("of_a"))
-    y = (others or rows).select("bucket", F.col("member").alias("b"), F.col("component").alias("of_b"))
-    return x.join(y, "bucket").where("of_a <> of_b").select("a", "b")
+    y = rows.select("bucket", F.col("member").alias("b"), F.col("component").alias("of_b"))
+    return x.join(y, "bucket").where("of_a < of_b").select("a", "b")

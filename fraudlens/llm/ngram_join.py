@@ -9,8 +9,10 @@ their sizes, H shingles.  If a set has more than H segments that are worth
 something, an equal partner segment must be among them (pigeonhole).  What a
 document allocates follows from cost:
 
-* segments of two shingles or more are rare, so they are indexed first;
-* segments of one shingle are indexed too only if the others are not more than H;
+* small sets index every segment that isn't empty, which leaves many to spare;
+* large ones, which make up most of the shingles, index segments of two shingles
+  or more, as these are rare, and those of one only if the others are not more
+  than H;
 * if all that aren't empty are still too few, each counts twice by its one-deletion
   neighbourhood, which finds a partner segment one shingle away, empty or not;
 * if even that is too few (very small sets in very few segments), the
@@ -20,10 +22,14 @@ It suffices that one of two partners has allocated enough, as both index what
 either relies on.  Documents that meet in a bucket are compared by their words.
 
 A bucket of many members first compares each with the first one only.  Links found
-are joined to components.  Where such a bucket still spans several components, a
-few more rounds pair the members outside its largest component with members
-of it; a document that doesn't need the bucket (its other segments are more than
-H) is settled then, and what is left is compared in full, so no link is lost.
+are joined to components.  Where such a bucket still spans several components, its
+members outside the largest component are paired with a member of it.  What is
+left goes by prefixes: all but H of a set's indexed segments are in each linked
+set, so two of them share one of their H + 1 rarest segments.  Of the buckets
+that are still open, a document needs the smallest only, as many as its other
+segments are short of H + 1.  Of the pairs in those, which are few, only such are
+compared whose differences to the bucket's first set are alike: the difference
+is a metric.  No link is lost by either.
 
 Results in odd cases: null and empty texts have no shingles, link with
 nothing and are their own component; repeated rows and copies are one class;
@@ -38,20 +44,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudlens.llm.common import map_slices, restricted, texts_of, written
-from fraudlens.llm.components import across, close_links, components, star_pairs
+from fraudlens.llm.components import close_links, components, star_pairs
 from fraudlens.llm.words import joined, mixed, owners, rolling, span_hashes, word_spans
 
 WORDS = 5
 #: Shingles of a segment in the largest sets of a band, about; then 1.3 in the smallest.
 LOAD = 2.6
 LEAST_SEGMENTS = 8
+#: Up to this band's top, segments of one shingle are indexed as well.
+SMALL = 511
 #: Members of a bucket that are all paired at once.
 ALL_PAIRS = 12
-ROUNDS = 2
+ROUNDS = 1
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -121,15 +129,16 @@ def _key(total, top, segment, size, space: int = 0):
 
 def allocate(hashes: np.ndarray, of: np.ndarray, sizes: np.ndarray, scheme: np.ndarray, need: np.ndarray):
     """Keys that each text indexes in its scheme, the text of each, and the slack of
-    each text: segments of two shingles or more beyond those needed (-1: too few)."""
+    each text: indexed segments beyond those needed (below 0: too few)."""
     key, text, size, segment, begin, taken = _segments(hashes, of, scheme)
     n = len(sizes)
     strong = np.bincount(text[size > 1], minlength=n)
     filled = np.bincount(text, minlength=n)
-    weak = strong <= need  # these index segments of one shingle too
-    chosen = (size > 1) | weak[text]
-    # partners needn't index the segments of one shingle, so those settle nothing
-    slack = np.where(weak, -1, strong - need - 1)
+    small = scheme <= SMALL
+    weak = ~small & (strong <= need)  # these index segments of one shingle too
+    chosen = (size > 1) | (small | weak)[text]
+    # partners needn't index the segments of one shingle of weak ones, so those settle nothing
+    slack = np.where(small, filled, np.where(weak, 0, strong)) - need - 1
     keys, texts = [key[chosen]], [text[chosen]]
     thin = np.flatnonzero((scheme > 0) & (filled <= need) & (sizes > 0))
     for i in thin.tolist():  # few and small
@@ -170,8 +179,9 @@ def _facts(n: int):
         edge = np.searchsorted(of, np.arange(len(texts) + 1))
         top, need = own_scheme(sizes)
         _, _, slack = allocate(hashes, of, sizes, top, need)
+        _, _, lower = allocate(hashes, of, sizes, *lower_scheme(sizes))
         digests = [hashlib.blake2b(hashes[edge[i] : edge[i + 1]].tobytes(), digest_size=16).digest() for i in range(len(texts))]
-        return {"doc_id": batch.column("doc_id"), "n_shingles": sizes, "digest": digests, "slack": slack}
+        return {"doc_id": batch.column("doc_id"), "n_shingles": sizes, "digest": digests, "slack": slack, "lower_slack": lower}
 
     return run
 
@@ -209,7 +219,7 @@ def _verify(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple = (None, set())
         for batch in batches:
-            found: list[tuple[int, int]] = []
+            found: list[tuple[int, int, int, bool]] = []
             rows = zip(*(batch.column(c) for c in ("a", "b", "text_a", "text_b")), strict=True)
             for a, b, x, y in rows:
                 b = b.as_py()
@@ -217,27 +227,31 @@ def _verify(n: int):
                     last = (b, _shingles(y.as_py(), n))
                 left, right = _shingles(x.as_py(), n), last[1]
                 both = len(left & right)
-                if 100 * both >= 80 * (len(left) + len(right) - both) > 0:
-                    found.append((a.as_py(), b))
+                total = len(left) + len(right) - both
+                found.append((a.as_py(), b, total - both, 100 * both >= 80 * total > 0))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], names=["a", "b"]
+                [pa.array([f[i] for f in found], pa.bool_() if i == 3 else pa.int64()) for i in range(4)],
+                names=["a", "b", "differ", "linked"],
             )
 
     return run
 
 
-def verified(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
-    """Pairs (a, b) whose sets have a Jaccard similarity of 0.8 or more, exactly."""
+def measured(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+    """Pairs (a, b) with the size of their symmetric difference (differ) and whether
+    their Jaccard similarity is 0.8 or more (linked), by the words."""
     ends = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
     own = restricted(texts, ends, "doc_id")
     left = pairs.join(own.withColumnsRenamed({"doc_id": "a", "text": "text_a"}), "a")
     both = left.join(own.withColumnsRenamed({"doc_id": "b", "text": "text_b"}), "b")
-    return written(both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(n), "a long, b long"), "links")
+    found = both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(n), "a long, b long, differ long, linked boolean")
+    return written(found, "measured")
 
 
 def links(docs: DataFrame, facts: DataFrame, n: int = WORDS) -> DataFrame:
     """Links (a, b) between classes of equal sets that have all components of the
-    exact join.  ``facts`` has doc_id, rep (of the class) and slack."""
+    exact join.  ``facts`` has doc_id, rep (of the class), n_shingles, slack and
+    lower_slack."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = written(star_pairs(map_slices(docs, _keys(n), "key long, member long"), "key", "member", ALL_PAIRS, partitions), "buckets")
     class_of = facts.select("doc_id", "rep")
@@ -247,39 +261,62 @@ def links(docs: DataFrame, facts: DataFrame, n: int = WORDS) -> DataFrame:
             rows = rows.join(class_of.withColumnsRenamed({"doc_id": c, "rep": f"rep_{c}"}), c).drop(c).withColumnRenamed(f"rep_{c}", c)
         return rows
 
-    def undirected(rows: DataFrame) -> DataFrame:
-        return rows.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    half = F.shiftright
-    first = met.where("bucket IS NULL").select(half("a", 1).alias("a"), half("b", 1).alias("b")).distinct()
-    tried = written(undirected(by_class(first, "a", "b")), "pairs")
-    found = verified(tried, docs, n)
-    large = met.where("bucket IS NOT NULL").select("bucket", half("b", 1).alias("doc"), F.col("b").bitwiseAND(1).alias("own"))
+    met = met.select("bucket", F.shiftright("a", 1).alias("a"), F.shiftright("b", 1).alias("b"), F.col("b").bitwiseAND(1).alias("own"))
+    first = by_class(met.select("a", "b").distinct(), "a", "b").where("a <> b")
+    tried = written(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    known = measured(tried, docs, n)
+    found = known.where("linked").select("a", "b")
+    large = met.where("bucket IS NOT NULL")
     if large.isEmpty():
         return found
-    large = written(by_class(large, "doc").groupBy("bucket", F.col("doc").alias("member")).agg(F.max("own").alias("own")), "large")
 
-    def rest(rows: DataFrame) -> DataFrame:
-        """Pairs of documents that still need these buckets; partners of the same
-        band both have to."""
-        own = rows.where("own = 1")
-        used = own.groupBy("member").agg(F.count(F.lit(1)).alias("used"))
-        slack = facts.where("doc_id = rep").select(F.col("doc_id").alias("member"), "slack")
-        unsettled = own.join(used.join(slack, "member").where("used > slack").select("member"), "member", "left_semi")
-        return across(unsettled, unsettled.unionByName(rows.where("own = 0")))
+    # members of large buckets with their difference to the bucket's first
+    reps = facts.where("doc_id = rep")
+    large = by_class(large, "a", "b").groupBy("bucket", F.col("a").alias("first"), F.col("b").alias("member")).agg(F.max("own").alias("own"))
+    large = large.withColumns({"a": F.least("first", "member"), "b": F.greatest("first", "member")})
+    large = written(
+        large.join(known.select("a", "b", "differ"), ["a", "b"], "left")
+        .join(reps.select(F.col("doc_id").alias("member"), F.col("n_shingles").alias("n")), "member")
+        .select("bucket", "member", "own", "n", F.coalesce("differ", F.lit(0)).alias("differ")),
+        "large",
+    )
+    spare = reps.select(
+        F.col("doc_id").alias("member"),
+        F.explode(F.array(F.struct(F.lit(1).alias("own"), "slack"), F.struct(F.lit(0).alias("own"), F.col("lower_slack").alias("slack")))).alias("s"),
+    ).select("member", F.col("s.own").cast("bigint").alias("own"), F.col("s.slack").alias("slack"))
 
-    return close_links(large, found, tried, lambda pairs: verified(pairs, docs, n), rest, ROUNDS)
+    def rest(rows: DataFrame) -> DataFrame:
+        """Pairs by prefixes and by differences to a third set: linked sets that meet
+        in large buckets only share one among the smallest of either, as many as its
+        other segments leave open, and differ from any set by numbers that differ by
+        no more than their own difference."""
+        size = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+        mine = Window.partitionBy("member", "own")  # at most the segments of a document
+        ranked = rows.join(size, "bucket").join(spare, ["member", "own"]).withColumns(
+            {"used": F.count(F.lit(1)).over(mine), "turn": F.row_number().over(mine.orderBy("size", "bucket"))}
+        )
+        prefix = written(ranked.where("turn <= used - slack").select("bucket", "member", "own", "component", "n", "differ"), "prefix")
+        x = prefix.where("own = 1").select("bucket", F.col("member").alias("a"), F.col("component").alias("of_a"), F.col("n").alias("n_a"), F.col("differ").alias("to_a"))
+        y = prefix.select("bucket", "own", F.col("member").alias("b"), F.col("component").alias("of_b"), F.col("n").alias("n_b"), F.col("differ").alias("to_b"))
+        near = (9 * F.abs(F.col("n_a") - F.col("n_b")) <= F.col("n_a") + F.col("n_b")) & (
+            9 * F.abs(F.col("to_a") - F.col("to_b")) <= F.col("n_a") + F.col("n_b")
+        )
+        apart = (F.col("of_a") < F.col("of_b")) | ((F.col("own") == 0) & (F.col("of_a") > F.col("of_b")))
+        return x.join(y, (x["bucket"] == y["bucket"]) & near & apart).select("a", "b")
+
+    return close_links(large, found, tried, lambda pairs: measured(pairs, docs, n).where("linked").select("a", "b"), rest, ROUNDS)
 
 
 def ngram_join(docs: DataFrame, n: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest id that links reach) of
     each row."""
     docs = texts_of(docs, id_col, text_col)
-    facts = written(map_slices(docs, _facts(n), "doc_id long, n_shingles long, digest binary, slack long"), "facts")
+    facts = written(map_slices(docs, _facts(n), "doc_id long, n_shingles long, digest binary, slack long, lower_slack long"), "facts")
     filled = facts.where("n_shingles > 0 AND doc_id IS NOT NULL")
     reps = filled.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     classes = written(
-        filled.join(reps, "digest").groupBy("doc_id", "rep").agg(F.min("slack").alias("slack")).select("doc_id", "rep", "slack"), "classes"
+        filled.join(reps, "digest").groupBy("doc_id", "rep").agg(*[F.min(c).alias(c) for c in ("n_shingles", "slack", "lower_slack")]),
+        "classes",
     )
     label = components(links(docs.where("doc_id IS NOT NULL"), classes, n)).withColumnRenamed("node", "rep")
     named = classes.join(label, "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component_id"))
