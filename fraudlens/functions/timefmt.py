@@ -16,20 +16,36 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# an ISO date-time starts with a full yyyy-MM-dd date
-ISO_DATE_PREFIX = "^[0-9]{4}-[0-9]{2}-[0-9]{2}"
+# date, then optionally a separator, hours, minutes, seconds, a fraction and an offset
+# of less than a day; group 1 the date, 2 to 5 the parts of the time
+ISO_TEXT = (
+    r"^([0-9]{4}-[0-9]{2}-[0-9]{2})"
+    r"(?:[^0-9]([0-9]{2})(?::([0-9]{2})(?::([0-9]{2})(?:[.,]([0-9]+))?)?)?"
+    r"(?:Z|[+-](?:[01][0-9]|2[0-3])(?::?[0-5][0-9](?::?[0-5][0-9](?:[.,][0-9]+)?)?)?)?)?$"
+)
 
 
 def parse_wall_clock(text) -> Column:
     """ISO-8601 text -> TIMESTAMP_NTZ; NULL when it does not parse.
 
-    A trailing offset is ignored, the wall clock is kept (as the rule input
-    ``fromisoformat(...).hour`` would see it).  The text must start with a
-    full ``yyyy-MM-dd`` date: Spark's cast alone would also take ``2025``,
-    ``2025-11`` or ``2025-11-3``, which are not ISO date-times.
+    The whole text has to match: Spark's cast alone would also take ``2025``,
+    ``2025-11-3``, single-digit times, zone names or blanks around.  Any one
+    character but a digit separates date and time; a comma may stand for the
+    decimal point; what goes beyond microseconds is cut.  An offset is ignored, the
+    wall clock is kept (as the rule input ``fromisoformat(...).hour`` would see it).
     """
     t = _col(text)
-    return F.when(t.rlike(ISO_DATE_PREFIX), t.try_cast("timestamp_ntz"))
+
+    def part(i: int) -> Column:
+        found = F.regexp_extract(t, ISO_TEXT, i)
+        return F.when(found == "", F.lit("00")).otherwise(found)
+
+    clock = F.concat(
+        F.regexp_extract(t, ISO_TEXT, 1), F.lit("T"), part(2), F.lit(":"), part(3), F.lit(":"), part(4), F.lit("."), F.substring(part(5), 1, 6)
+    )
+    # Java's $ also stands before a final line break; year 0 is none
+    whole = t.rlike(ISO_TEXT) & ~t.rlike("[\\r\\n\\u0085\\u2028\\u2029]$") & ~t.startswith("0000")
+    return F.when(whole, clock.try_cast("timestamp_ntz"))
 
 
 def _ntz_text(ts) -> Column:

@@ -33,8 +33,7 @@ def with_email(df: DataFrame, style, first="first_name", last="last_name", digit
 
 
 def with_product_name(df: DataFrame, category="category", part_a="part_a", part_b="part_b", part_c="part_c", out: str = "product_name") -> DataFrame:
-    """Add a product name built from the category's template; the three part
-    columns are non-negative integers that pick the name parts."""
+    """Add a product name built by the category's template from three columns."""
     return df.withColumn(out, X.product_name(category, part_a, part_b, part_c))
 
 

@@ -13,21 +13,26 @@ from pyspark.sql import functions as F
 from fraudlens.functions.amount import amount_value
 from fraudlens.functions.rules import fraud_status
 from fraudlens.functions.timefmt import parse_wall_clock
-from fraudlens.schemas import CORRUPT_COL, RAW_ORDER
+from fraudlens.schemas import CORRUPT_COL, ORDER_LENGTHS, RAW_ORDER
 
 # --- fixed values: reject reasons ------------------------------------------
 BAD_JSON = "bad_json"
 BAD_AMOUNT = "bad_amount"
 BAD_DATE = "bad_date"
+TOO_LONG = "too_long"
 # ----------------------------------------------------------------------------
 
 
 def _with_checks(raw: DataFrame) -> DataFrame:
     has_corrupt = CORRUPT_COL in raw.columns
     corrupt = F.col(CORRUPT_COL) if has_corrupt else F.lit(None).cast("string")
+    # the topic gives a quantity as text; one that is no whole number makes the line bad
+    quantity = F.col("quantity").cast("string").try_cast("int")
+    mistyped = F.col("quantity").isNotNull() & quantity.isNull()
+    line = F.to_json(F.struct(*[F.col(c) for c in RAW_ORDER.fieldNames()]))
     return raw.select(
-        *[F.col(c) for c in RAW_ORDER.fieldNames()],
-        corrupt.alias("_raw_line"),
+        *[quantity.alias(c) if c == "quantity" else F.col(c) for c in RAW_ORDER.fieldNames()],
+        F.coalesce(corrupt, F.when(mistyped, line)).alias("_raw_line"),
         amount_value("amount").alias("_amount"),
         parse_wall_clock("created_date").alias("_ts"),
     )
@@ -39,14 +44,23 @@ def _reason():
         F.when(F.col("_raw_line").isNotNull(), F.lit(BAD_JSON))
         .when(F.col("_amount").isNull(), F.lit(BAD_AMOUNT))
         .when(F.col("_ts").isNull(), F.lit(BAD_DATE))
+        .when(_too_long(), F.lit(TOO_LONG))
     )
 
 
+def _too_long():
+    longer = F.lit(False)
+    for name, most in ORDER_LENGTHS.items():
+        longer = longer | F.coalesce(F.length(name) > most, F.lit(False))
+    return longer
+
+
 def ingest_orders(raw: DataFrame) -> DataFrame:
     """Raw events -> ingested orders (ORDERS schema) with a fraud verdict.
 
-    Lines that did not parse as JSON, amounts with no digits and dates that
-    are not ISO-8601 are dropped (see :func:`order_rejects`).  The stored
+    Lines that did not parse as JSON or hold a quantity that is no whole number,
+    amounts with no digits, dates that are not ISO-8601 and texts longer than their
+    column are dropped (see :func:`order_rejects`).  The stored
     ``amount`` keeps its raw text; the staging model cleans it again.
     """
     checked = _with_checks(raw).filter(_reason().isNull())
@@ -66,10 +80,8 @@ def ingest_orders(raw: DataFrame) -> DataFrame:
 def order_rejects(raw: DataFrame) -> DataFrame:
     """The rows :func:`ingest_orders` drops, each with its reason.
 
-    Every raw column is part of the output.  Besides making the report
-    complete, this keeps the JSON reader parsing all fields: a pruned read
-    would not notice a malformed field it was not asked for, and the same
-    line would then count as corrupt in ingest but not here.
+    Every raw column is part of the output, and the line's text where the line
+    itself is bad.
     """
     checked = _with_checks(raw).withColumn("reason", _reason())
     return checked.filter(F.col("reason").isNotNull()).select(

@@ -133,7 +133,7 @@ def mart_users_fraud_mostly(
         grouped_number("total_fraud_loss").alias("fake_transaction"),
         blacklist_label("fraud_orders_count").alias("blacklist_status"),
     )
-    return _ordered(out, ordered, F.desc("fraud_orders_count"), F.desc("total_orders"))
+    return _ordered(out, ordered, F.desc("fraud_orders_count"), F.desc("total_orders"), F.asc("user_id"))
 
 
 def mart_user_product_habit(
@@ -161,7 +161,7 @@ def mart_user_product_habit(
             report_clock("new_transaction").alias("latest_transaction"),
         )
     )
-    return _ordered(out, ordered, F.desc("total_orders"), F.asc_nulls_last("first_name"), F.asc("user_id"))
+    return _ordered(out, ordered, F.desc("total_orders"), F.asc_nulls_last("first_name"), F.asc("user_id"), F.asc("product_id"))
 
 
 def mart_product_payment(fct: DataFrame, dim_products: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fraudlens.functions.timefmt import as_date, day_window
+from fraudlens.operators.joins import checked_broadcast
 
 PARTITION_COL = "dt"
 
@@ -95,15 +96,16 @@ def duplicate_keys(batch: DataFrame, key: str | list[str]) -> DataFrame:
 def upsert(target: DataFrame, batch: DataFrame, key: str | list[str], check_batch: bool = True) -> DataFrame:
     """Insert new keys, replace rows of existing keys with the batch row.
 
-    ``target ⋉̸ batch ∪ batch``: the anti-join only needs the batch keys;
-    once their shuffle shows them small, AQE turns it into a broadcast join.
-    A key twice in one batch is an error (the row to keep would be
-    ambiguous), checked with one small aggregate job.
+    ``target ⋉̸ batch ∪ batch``: the anti-join only needs the batch keys.
+    Measured small, they are broadcast and the target is read without a shuffle;
+    a large batch is joined by a shuffle of both sides.  A key twice in one batch
+    is an error (the row to keep would be ambiguous), checked with one small
+    aggregate job.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if check_batch and not duplicate_keys(batch, keys).isEmpty():
         raise ValueError(f"upsert batch has duplicate keys on {keys}")
-    kept = target.join(batch.select(*keys), keys, "left_anti")
+    kept = target.join(checked_broadcast(batch.select(*keys)), keys, "left_anti")
     return kept.unionByName(batch.select(*target.columns))
 
 
@@ -128,7 +130,12 @@ def first_per_key(batch: DataFrame, key: str | list[str], order_by: list[str]) -
 
 def insert_if_absent(target: DataFrame, batch: DataFrame, key: str | list[str], order_by: list[str]) -> DataFrame:
     """Insert batch rows whose key is not in the target; existing keys are
-    left untouched.  Within the batch the first row of a key wins."""
+    left untouched.  Within the batch the first row of a key wins.
+
+    The target is only asked which of the batch's keys it has: measured small, the
+    keys are broadcast to it, and nothing of the target is shuffled but hits."""
     keys = [key] if isinstance(key, str) else list(key)
-    fresh = first_per_key(batch, keys, order_by).join(target.select(*keys), keys, "left_anti")
+    asked = batch.select(*keys).distinct()
+    present = target.select(*keys).join(checked_broadcast(asked), keys, "left_semi").distinct()
+    fresh = first_per_key(batch, keys, order_by).join(present, keys, "left_anti")
     return target.unionByName(fresh.select(*target.columns))

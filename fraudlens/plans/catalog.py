@@ -14,10 +14,17 @@ from pyspark.sql import functions as F
 
 from fraudlens.operators import compose, ingest, warehouse
 from fraudlens.plans.models import ModelGraph, Sources, build_models
-from fraudlens.schemas import ORDERS
+from fraudlens.schemas import ORDERS, PRODUCTS, USERS
 from fraudlens.sources import adapter
 from fraudlens.sources.tables import TableSet, load_tables
-from fraudlens.testing.oracle_sql import AS_OF, ORDERS_RUN_DATE, PRODUCTS_RUN_DATE, USERS_RUN_DATE
+
+# --- fixed values: dates of the registered runs ---------------------------------
+AS_OF = "2025-11-06 00:00:00"
+ORDERS_RUN_DATE = "1995-02-19"
+USERS_RUN_DATE = "2025-11-05"
+PRODUCTS_RUN_DATE = "2025-11-05"
+WINDOW_END = "1994-12-31"
+# -------------------------------------------------------------------------------
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -112,6 +119,109 @@ def q_stream_ingest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(ORDERS).parquet(f"{base}/orders")
 
 
+def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingest with the replay drop, several micro-batches: every distinct order once."""
+    from fraudlens.session import scratch_dir
+    from fraudlens.sources.topic import publish_orders
+    from fraudlens.streaming.ingest import start_order_ingest
+
+    base = scratch_dir(spark, "stream-dedup")
+    raw = adapter.raw_orders_replayed(load_tables(spark, sf_dir))
+    publish_orders(raw.repartition(4), f"{base}/topic")
+    start_order_ingest(
+        spark, f"{base}/topic", f"{base}/orders", f"{base}/_checkpoints", available_now=True, dedup_delay="1 day", max_files_per_trigger=2
+    ).await_all()
+    return spark.read.schema(ORDERS).parquet(f"{base}/orders")
+
+
+def _topic_with_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published events, and for each order four lines that must be rejected."""
+    from fraudlens.session import scratch_dir
+    from fraudlens.sources.topic import publish_orders, read_topic
+
+    topic = f"{scratch_dir(spark, 'topic')}/topic"
+    t = load_tables(spark, sf_dir)
+    publish_orders(adapter.raw_orders_replayed(t), topic)
+    key = F.col("o_orderkey").cast("string")
+    event = '", "user_id": "U1", "product_id": "P1", "quantity": %s, "amount": "Rp.5", "created_date": "2025-01-01T00:00:00"'
+    lines = F.array(
+        F.concat(F.lit('{"order_id": "X'), key, F.lit(event % '"many"' + "}")),
+        F.concat(F.lit('{"order_id": "Y'), key, F.lit(event % "1.5" + "}")),
+        F.concat(F.lit('{"order_id": "Z'), key),
+        F.concat(F.lit('{"order_id": "W'), F.lpad(key, 60, "0"), F.lit(event % "1" + "}")),
+    )
+    t["orders"].select(F.explode(lines).alias("value")).write.mode("append").text(topic)
+    return read_topic(spark, topic)
+
+
+def q_topic_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.ingest_orders(_topic_with_bad_lines(spark, sf_dir))
+
+
+def q_topic_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rejects = ingest.order_rejects(_topic_with_bad_lines(spark, sf_dir))
+    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_json_extract_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fraudlens.session import scratch_dir
+    from fraudlens.sources.warehouse import read_json_extract, write_json_extract
+
+    path = write_json_extract(adapter.raw_products(load_tables(spark, sf_dir)), scratch_dir(spark, "extract"))
+    return read_json_extract(spark, path, PRODUCTS)
+
+
+def q_warehouse_load_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed, checked, day-partitioned load of every ingested order, read back."""
+    from fraudlens.session import scratch_dir
+    from fraudlens.sources.warehouse import load_daily, read_warehouse
+
+    path = scratch_dir(spark, "warehouse")
+    load_daily(q_ingest_orders(spark, sf_dir), path, ORDERS, "created_date", table="orders")
+    return read_warehouse(spark, path, ORDERS).drop(warehouse.PARTITION_COL)
+
+
+def q_warehouse_rerun_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two appended loads, then a rerun that replaces the days: each user once."""
+    from fraudlens.session import scratch_dir
+    from fraudlens.sources.warehouse import load_daily, read_warehouse
+
+    path = scratch_dir(spark, "warehouse")
+    users = adapter.raw_users(load_tables(spark, sf_dir))
+    for mode in ("append", "append", "overwrite_days"):
+        load_daily(users, path, USERS, "created_date", mode=mode, table="users")
+    return read_warehouse(spark, path, USERS).drop(warehouse.PARTITION_COL)
+
+
+def q_staging_view_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fraudlens.plans.loads import register_staging_views
+
+    register_staging_views(build_models(sources_from_tables(load_tables(spark, sf_dir)), as_of=AS_OF), prefix="v_")
+    return spark.sql("SELECT * FROM v_stg_products")
+
+
+def q_run_models_product_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full refresh that writes the core tables and one mart, read back."""
+    from fraudlens.plans.models import run_models
+    from fraudlens.session import scratch_dir
+
+    sources = sources_from_tables(load_tables(spark, sf_dir))
+    paths = run_models(spark, sources, scratch_dir(spark, "models"), as_of=AS_OF, select=("mart_product_payment",))
+    return spark.read.parquet(paths["mart_product_payment"])
+
+
+def q_windowed_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model over a day range of the warehouse: orders are limited, users not."""
+    from fraudlens.plans.loads import backfill, warehouse_sources
+    from fraudlens.session import scratch_dir
+
+    base = scratch_dir(spark, "warehouse")
+    t = load_tables(spark, sf_dir)
+    backfill("orders", q_ingest_orders(spark, sf_dir), base)
+    backfill("users", adapter.raw_users(t), base)
+    return build_models(warehouse_sources(spark, base, end_day=WINDOW_END), as_of=AS_OF)["mart_users_blacklist"]
+
+
 QUERIES: dict[str, Query] = {
     "clean_amount": q_clean_amount,
     "ingest_orders": q_ingest_orders,
@@ -137,6 +247,15 @@ QUERIES: dict[str, Query] = {
     "product_names": q_product_names,
     "currency_string": q_currency_string,
     "stream_ingest_orders": q_stream_ingest_orders,
+    "stream_dedup": q_stream_dedup,
+    "topic_ingest": q_topic_ingest,
+    "topic_rejects": q_topic_rejects,
+    "json_extract_products": q_json_extract_products,
+    "warehouse_load_orders": q_warehouse_load_orders,
+    "warehouse_rerun_users": q_warehouse_rerun_users,
+    "staging_view_products": q_staging_view_products,
+    "run_models_product_payment": q_run_models_product_payment,
+    "windowed_blacklist": q_windowed_blacklist,
 }
 
 __all__ = ["QUERIES", "Query", "ModelGraph", "sources_from_tables", "ORDERS_RUN_DATE", "USERS_RUN_DATE", "PRODUCTS_RUN_DATE"]

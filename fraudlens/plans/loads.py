@@ -9,7 +9,9 @@ so a rerun or a backfill does the same work.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from fraudlens.functions.timefmt import run_clock
 from fraudlens.operators import warehouse
 from fraudlens.plans.models import ModelGraph, Sources
 from fraudlens.schemas import TABLES
@@ -70,9 +72,11 @@ def backfill(table: str, operational: DataFrame, warehouse_dir: str) -> bool:
                       mode="overwrite_days", table=table)
 
 
-def merge_products(current: DataFrame, batch: DataFrame, out_path: str) -> str:
+def merge_products(current: DataFrame, batch: DataFrame, out_path: str, as_of=None) -> str:
     """Hourly product merge: upsert ``batch`` by product_id and write the
-    new table version to ``out_path`` (never the path ``current`` reads)."""
+    new table version to ``out_path`` (never the path ``current`` reads).  A row
+    without ``updated_at`` gets the run clock (``as_of`` or now)."""
+    batch = batch.withColumn("updated_at", F.coalesce("updated_at", run_clock(as_of)))
     warehouse.upsert(current, batch, "product_id").write.mode("overwrite").parquet(out_path)
     return out_path
 
@@ -86,15 +90,20 @@ def merge_users(current: DataFrame, batch: DataFrame, out_path: str, order_by: l
 
 
 def warehouse_sources(spark: SparkSession, warehouse_dir: str, start_day=None, end_day=None) -> Sources:
-    """The three warehouse tables as model sources, optionally limited to a
-    day range (pruned on the ``dt`` partitions)."""
+    """The three warehouse tables as model sources.  A day range limits the orders
+    (pruned on the ``dt`` partitions); users and products are read whole, as an
+    order may name one that was added on any day."""
 
     def read(table: str):
-        schema, _key, ts_col = TABLES[table]
-        df = read_warehouse(spark, table_path(warehouse_dir, table), schema)
+        schema, _key, _ts = TABLES[table]
+        return read_warehouse(spark, table_path(warehouse_dir, table), schema).select(*schema.fieldNames())
+
+    def orders():
+        schema, _key, ts_col = TABLES["orders"]
+        df = read_warehouse(spark, table_path(warehouse_dir, "orders"), schema)
         return warehouse.date_range(df, ts_col, start_day, end_day).select(*schema.fieldNames())
 
-    return Sources(orders=lambda: read("orders"), users=lambda: read("users"), products=lambda: read("products"))
+    return Sources(orders=orders, users=lambda: read("users"), products=lambda: read("products"))
 
 
 def register_staging_views(graph: ModelGraph, prefix: str = "") -> list[str]:

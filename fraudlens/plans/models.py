@@ -129,15 +129,15 @@ def build_models(src: Sources, as_of=None) -> ModelGraph:
 
 
 def stored_graph(
-    spark: SparkSession, core_paths: dict[str, str], broadcast_max_rows: int | None = None, ordered: bool = True
+    spark: SparkSession, core_paths: dict[str, str], broadcast_max_bytes: int | None = None, ordered: bool = True
 ) -> ModelGraph:
     """Model graph over written core tables.  Each dimension is broadcast to
-    the mart joins when its row count is within the bound (see
+    the mart joins when its measured bytes are within the bound (see
     ``operators.joins.checked_broadcast``); the fact table never is.
     ``ordered=False`` leaves out the marts' global sorts (for table writes)."""
-    from fraudlens.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast
+    from fraudlens.operators.joins import BROADCAST_MAX_BYTES, checked_broadcast
 
-    bound = BROADCAST_MAX_ROWS if broadcast_max_rows is None else broadcast_max_rows
+    bound = BROADCAST_MAX_BYTES if broadcast_max_bytes is None else broadcast_max_bytes
     core_tables = {name: spark.read.parquet(core_paths[name]) for name in CORE}
     for dim in ("dim_users", "dim_products"):
         core_tables[dim] = checked_broadcast(core_tables[dim], bound)

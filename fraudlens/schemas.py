@@ -26,8 +26,16 @@ RAW_ORDER = T.StructType(
     ]
 )
 
-# Wire schema plus the PERMISSIVE-mode column that keeps unparsable lines.
-RAW_ORDER_WITH_CORRUPT = T.StructType(RAW_ORDER.fields + [T.StructField(CORRUPT_COL, T.StringType())])
+# Topic lines are read with every field as text, plus the PERMISSIVE-mode column
+# that keeps unparsable lines: whether a line parses then doesn't depend on the
+# columns a query asks for.  Types are checked by the ingest itself.
+WIRE_ORDER = T.StructType(
+    [T.StructField(f.name, T.StringType()) for f in RAW_ORDER.fields] + [T.StructField(CORRUPT_COL, T.StringType())]
+)
+
+# --- fixed values: longest text (characters) the orders table takes -------------
+ORDER_LENGTHS = {"order_id": 50, "user_id": 50, "product_id": 50, "amount": 50, "payment_method": 50, "country": 10}
+# ---------------------------------------------------------------------------------
 
 # Ingested orders: raw columns, parsed created_date, fraud verdict.
 ORDERS = T.StructType(

@@ -54,31 +54,32 @@ def get_session(
         # the local shuffle reader would then run a converted broadcast join
         # in one task, so read shuffles by partition instead
         builder = builder.config("spark.sql.adaptive.localShuffleReader.enabled", "false")
-        builder = builder.config("spark.driver.memory", os.environ.get("FRAUDLENS_DRIVER_MEMORY", "16g"))
+        builder = builder.config("spark.driver.memory", os.environ.get("FRAUDLENS_DRIVER_MEMORY", "8g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for k, v in {**SQL_DEFAULTS, **(extra or {})}.items():
+    for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if master:
+        spark.sparkContext.setLogLevel("ERROR")
+    apply_sql_defaults(spark, SQL_DEFAULTS)
     return spark
 
 
-def apply_sql_defaults(spark: SparkSession) -> None:
-    """Set the runtime SQL settings the operators are designed around on a
-    session created elsewhere (they are all modifiable at run time)."""
-    for k, v in SQL_DEFAULTS.items():
-        if k in _CALLER_OWNED:
-            continue
-        if spark.conf.get(k, None) != v:
-            spark.conf.set(k, v)
-
-
 # settings left to the caller's session: results never depend on them
 _CALLER_OWNED = {"spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode"}
 
 
+def apply_sql_defaults(spark: SparkSession, settings: dict[str, str] | None = None) -> None:
+    """Give the SQL settings the operators are designed around to a session, where
+    nobody has set them (they are all modifiable at run time)."""
+    chosen = settings or {k: v for k, v in SQL_DEFAULTS.items() if k not in _CALLER_OWNED}
+    explicit = spark.conf.getAll
+    for k, v in chosen.items():
+        if k not in explicit:
+            spark.conf.set(k, v)
+
+
 _LOCAL_CKPT: dict[int, str] = {}
 
 
@@ -91,7 +92,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     the context; a cluster without the setting is an error.
     """
     sc = spark.sparkContext
-    current = sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if current:
         return current
     if not sc.master.startswith("local"):

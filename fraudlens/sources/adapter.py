@@ -5,8 +5,8 @@ There is no order topic in the test data, so every order line of
 text, created_date as ISO text).  ``customer`` becomes the user table and
 ``part`` the product table.  Key-derived cases plant the bad and edge rows
 the pipeline has to handle: empty and over-long amounts, unparsable dates,
-missing countries, replayed events, users missing from the user table and
-products with a second price version.
+missing countries, replayed events, orders of users and products that don't
+exist, and products with a second price version.
 
 All of it is plain joins and projections, so the derived tables grow with
 the inputs; nothing is sampled or capped.
@@ -71,8 +71,9 @@ def raw_orders_flagged(t: TableSet) -> DataFrame:
     return j.selectExpr(
         "concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), "
         "CAST(l_partkey AS STRING), CAST(l_suppkey AS STRING)) AS order_id",
-        "concat('U', CAST(o_custkey AS STRING)) AS user_id",
-        "concat('P', CAST(l_partkey AS STRING)) AS product_id",
+        # some orders name a user or product that no table has (left-join misses)
+        f"concat(CASE WHEN {k} % 11 = 0 THEN 'UX' ELSE 'U' END, CAST(o_custkey AS STRING)) AS user_id",
+        f"concat(CASE WHEN {k} % 13 = 0 THEN 'PX' ELSE 'P' END, CAST(l_partkey AS STRING)) AS product_id",
         f"CAST(l_quantity AS INT) * CASE WHEN {k} % 40 = 1 THEN 10 ELSE 2 END AS quantity",
         f"CASE WHEN {k} % 97 = 0 THEN {_sql_str(EMPTY_AMOUNT)} WHEN {k} % 101 = 0 THEN {_sql_str(OVERSIZED_AMOUNT)} "
         f"ELSE concat('Rp.', format_number({amount_value}, 0)) END AS amount",
@@ -104,8 +105,8 @@ def raw_orders_replayed(t: TableSet) -> DataFrame:
 
 
 def raw_users(t: TableSet) -> DataFrame:
-    """Operational user table; every fifth customer is absent (left-join misses)."""
-    return t["customer"].filter("c_custkey % 5 <> 0").selectExpr(
+    """Operational user table: every customer."""
+    return t["customer"].selectExpr(
         "concat('U', CAST(c_custkey AS STRING)) AS user_id",
         "c_name AS first_name",
         "c_mktsegment AS last_name",
@@ -115,9 +116,9 @@ def raw_users(t: TableSet) -> DataFrame:
     )
 
 
-def _product_version(p: DataFrame, keep: str, price_scale: int, clock_start: str) -> DataFrame:
-    return p.filter(keep).selectExpr(
-        "concat('P', CAST(p_partkey AS STRING)) AS product_id",
+def _product_version(p: DataFrame, price_scale: int, clock_start: str, key: str = "concat('P', CAST(p_partkey AS STRING))") -> DataFrame:
+    return p.selectExpr(
+        f"{key} AS product_id",
         "p_name AS product_name",
         "p_type AS category",
         f"CAST(floor(p_retailprice * {price_scale}) AS BIGINT) AS price",
@@ -128,12 +129,13 @@ def _product_version(p: DataFrame, keep: str, price_scale: int, clock_start: str
 def raw_products_versions(t: TableSet) -> tuple[DataFrame, DataFrame]:
     """(first price list, later repricing batch) of the product table.
 
-    Every seventh part never appears in the first list (missing products);
-    every tenth part is repriced later with a newer updated_at.
+    The first list has every part.  The batch reprices every twentieth part with a
+    newer updated_at and adds as many new products.
     """
     p = t["part"]
-    first = _product_version(p, "p_partkey % 7 <> 0", 1000, PRODUCT_CLOCK_START)
-    repriced = _product_version(p, "p_partkey % 10 = 1", 1100, PRODUCT_REPRICE_START)
+    first = _product_version(p, 1000, PRODUCT_CLOCK_START)
+    new = "concat(CASE WHEN p_partkey % 20 = 1 THEN 'P' ELSE 'PN' END, CAST(p_partkey AS STRING))"
+    repriced = _product_version(p.filter("p_partkey % 10 = 1"), 1100, PRODUCT_REPRICE_START, new)
     return first, repriced
 
 
@@ -168,11 +170,14 @@ def customer_profiles(t: TableSet) -> DataFrame:
 def user_signups(t: TableSet) -> DataFrame:
     """A user batch in which every customer signs up twice: first with a
     ``first.<digit>`` address, two days later with ``last_<initial>``.
-    Inserting it keeps existing users and, per new key, the earlier row."""
+    Every fifth signs up under a new key.  Inserting the batch keeps existing
+    users and, per new key, the earlier row."""
     from fraudlens.operators.compose import with_email
     from fraudlens.schemas import USERS
 
-    p = customer_profiles(t)
+    key = F.col("user_id")
+    new = F.substring(key, 2, 20).cast("bigint") % 5 == 0
+    p = customer_profiles(t).withColumn("user_id", F.when(new, F.concat(F.lit("N"), key)).otherwise(key))
     early = with_email(p, "first_digit", digit="digit").withColumn(
         "created_date", F.timestamp_add("HOUR", F.col("_hour"), _ntz(SIGNUP_EARLY_START))
     )
@@ -184,14 +189,14 @@ def user_signups(t: TableSet) -> DataFrame:
 
 
 def part_name_parts(t: TableSet) -> DataFrame:
-    """Per part: product key, category and three name-part indexes."""
+    """Per part: product key, category and three parts of a name."""
     from fraudlens.functions.text import CATEGORIES
 
     key = F.col("p_partkey")
     return t["part"].select(
         product_key(key).alias("product_id"),
         _pick(CATEGORIES, key % 3).alias("category"),
-        F.floor(key / 3).alias("part_a"),
-        F.col("p_size").cast("long").alias("part_b"),
-        F.floor(key / 7).alias("part_c"),
+        F.col("p_brand").alias("part_a"),
+        F.col("p_type").alias("part_b"),
+        F.col("p_name").alias("part_c"),
     )

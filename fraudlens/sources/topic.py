@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fraudlens.schemas import CORRUPT_COL, RAW_ORDER, RAW_ORDER_WITH_CORRUPT
+from fraudlens.schemas import CORRUPT_COL, RAW_ORDER, WIRE_ORDER
 
 
 def publish_orders(df: DataFrame, topic_dir: str) -> None:
@@ -21,7 +21,7 @@ def publish_orders(df: DataFrame, topic_dir: str) -> None:
 
 def _reader(r):
     return (
-        r.schema(RAW_ORDER_WITH_CORRUPT)
+        r.schema(WIRE_ORDER)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_COL)
     )
@@ -32,9 +32,29 @@ def read_topic(spark: SparkSession, topic_dir: str) -> DataFrame:
     return _reader(spark.read).json(topic_dir)
 
 
-def read_topic_stream(spark: SparkSession, topic_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming read: each micro-batch holds the files added since the last."""
-    r = _reader(spark.readStream)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+# --- fixed values --------------------------------------------------------------
+MAX_FILES_PER_TRIGGER = 1000    # bounds the first micro-batch over a backlog
+MAX_FILE_AGE = "36500d"         # a file is read however much older than the newest it is
+# -------------------------------------------------------------------------------
+
+
+def read_topic_stream(
+    spark: SparkSession,
+    topic_dir: str,
+    max_files_per_trigger: int | None = None,
+    max_file_age: str = MAX_FILE_AGE,
+    archive_dir: str | None = None,
+) -> DataFrame:
+    """Streaming read: each micro-batch holds files added since the last, at most
+    ``max_files_per_trigger`` (default MAX_FILES_PER_TRIGGER).
+
+    The file source skips files older than ``max_file_age`` counted from the newest
+    one it has seen, so a short age would lose late back-fills.  The folder is listed
+    at every poll; with ``archive_dir`` consumed files move there, which keeps
+    the listing short (one stream per topic folder, then).
+    """
+    r = _reader(spark.readStream).option("maxFileAge", max_file_age)
+    r = r.option("maxFilesPerTrigger", str(max_files_per_trigger or MAX_FILES_PER_TRIGGER))
+    if archive_dir:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return r.json(topic_dir)

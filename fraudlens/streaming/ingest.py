@@ -13,6 +13,7 @@ events (identical rows) that arrive within that delay of each other.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,34 +38,25 @@ def ensure_dir(spark: SparkSession, path: str) -> None:
         fs.mkdirs(p)
 
 
-def _drop_repeats_in_batch(batches):
-    """Per Arrow batch: keep one copy of identical rows (stateless)."""
-    for pdf in batches:
-        yield pdf.drop_duplicates()
-
+def _has_files(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and len(fs.listStatus(p)) > 0
 
-def dedup_replays(orders: DataFrame, delay: str, combine_map_side: bool = False) -> DataFrame:
-    """Drop identical order rows seen again within ``delay`` of event time.
 
-    Full-row key: two different orders that share an order_id both stay.
-    The watermark needs a TIMESTAMP column; the wall clock is read as UTC
-    for that purpose only.
+def dedup_replays(orders: DataFrame, delay: str) -> DataFrame:
+    """Drop identical order rows that arrive again within ``delay`` of the first.
 
-    Streaming de-duplication has no map-side combine: every copy of a row is
-    shuffled to the state partition of its key, so a replay storm lands in
-    one task.  ``combine_map_side=True`` first drops repeats inside each
-    Arrow batch of each input partition (``mapInPandas``; stateless, so
-    allowed on a stream), which cuts a storm of copies by up to the batch
-    size before the shuffle, at the price of one Arrow round trip per row.
+    Full-row key: two different orders that share an order_id both stay.  The
+    watermark runs on the arrival clock of the micro-batch, not on the event
+    clock: a late original is never behind it, and an event dated in the far
+    future doesn't move it.
     """
-    cols = ORDERS.fieldNames()
-    if combine_map_side:
-        orders = orders.mapInPandas(_drop_repeats_in_batch, schema=orders.schema)
     return (
-        orders.withColumn("_event_time", F.col("created_date").cast("timestamp"))
-        .withWatermark("_event_time", delay)
-        .dropDuplicatesWithinWatermark(cols)
-        .drop("_event_time")
+        orders.withColumn("_arrival", F.current_timestamp())
+        .withWatermark("_arrival", delay)
+        .dropDuplicatesWithinWatermark(ORDERS.fieldNames())
+        .drop("_arrival")
     )
 
 
@@ -74,9 +66,18 @@ class IngestStreams:
     rejects: StreamingQuery | None
 
     def await_all(self, timeout: float | None = None) -> None:
-        for q in (self.orders, self.rejects):
-            if q is not None:
-                q.awaitTermination(timeout)
+        """Wait until all streams have ended; if one fails, stop the others and raise."""
+        queries = [q for q in (self.orders, self.rejects) if q is not None]
+        until = None if timeout is None else time.monotonic() + timeout
+        while True:
+            for q in queries:
+                if q.exception() is not None:
+                    self.stop()
+                    q.awaitTermination()
+            active = [q for q in queries if q.isActive]
+            if not active or (until is not None and time.monotonic() >= until):
+                return
+            active[0].awaitTermination(0.5)
 
     def stop(self) -> None:
         for q in (self.orders, self.rejects):
@@ -120,7 +121,7 @@ def start_order_ingest(
     dedup_delay: str | None = None,
     max_files_per_trigger: int | None = None,
     single_pass: bool = False,
-    dedup_combine: bool = False,
+    archive_dir: str | None = None,
 ) -> IngestStreams:
     """Start the ingest stream(s).
 
@@ -132,8 +133,10 @@ def start_order_ingest(
     ``single_pass=True`` parses the topic once and writes both outputs from
     one ``foreachBatch`` query into ``batch_id=<n>`` folders (see
     :func:`write_both`); it does not combine with ``dedup_delay``.
-    ``dedup_combine`` adds the map-side pre-dedup to ``dedup_delay`` (see
-    :func:`dedup_replays`).
+    ``archive_dir`` moves consumed topic files away, which needs one reader: it goes
+    with ``single_pass`` or without ``rejects_out`` only.
+    A non-empty output without its checkpoint is refused: batch numbers would start
+    again and overwrite what is there.
     """
     ensure_dir(spark, topic_dir)
     ckpt = checkpoint_dir.rstrip("/")
@@ -145,15 +148,19 @@ def start_order_ingest(
         w = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{ckpt}/{name}")
         return _trigger(w).start(out)
 
-    raw = read_topic_stream(spark, topic_dir, max_files_per_trigger)
+    if archive_dir and rejects_out and not single_pass:
+        raise ValueError("two queries read the topic: archive_dir needs single_pass")
+    raw = read_topic_stream(spark, topic_dir, max_files_per_trigger, archive_dir=archive_dir)
     if single_pass:
         if dedup_delay:
             raise ValueError("single_pass does not combine with dedup_delay")
+        if _has_files(spark, orders_out) and not _has_files(spark, f"{ckpt}/both"):
+            raise ValueError(f"{orders_out} holds data, but its checkpoint {ckpt}/both is missing")
         w = raw.writeStream.foreachBatch(write_both(orders_out, rejects_out)).option("checkpointLocation", f"{ckpt}/both")
         return IngestStreams(_trigger(w).start(), None)
     orders = ingest_orders(raw)
     if dedup_delay:
-        orders = dedup_replays(orders, dedup_delay, combine_map_side=dedup_combine)
+        orders = dedup_replays(orders, dedup_delay)
     q_orders = _start(orders, orders_out, "orders")
     q_rejects = _start(order_rejects(raw), rejects_out, "rejects") if rejects_out else None
     return IngestStreams(q_orders, q_rejects)

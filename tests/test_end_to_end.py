@@ -31,7 +31,7 @@ def test_daily_load_with_json_interchange(spark, tables, tmp_dir):
     assert daily_load(spark, "users", users, "2025-11-05", wh, interchange_dir=os.path.join(tmp_dir, "x"))
     assert not daily_load(spark, "users", users, "1999-01-01", wh)
     src = warehouse_sources(spark, wh)
-    assert src.users.count() == 19
+    assert src.users.count() == 24
     assert src.users.columns == USERS.fieldNames()
 
 
@@ -42,15 +42,15 @@ def test_init_tables_and_views(spark, tables, tmp_dir):
     from fraudlens.plans.catalog import sources_from_tables
 
     names = register_staging_views(ModelGraph(sources_from_tables(tables), AS_OF), prefix)
-    assert spark.table(names[1]).count() == 120
+    assert spark.table(names[1]).count() == 150
 
 
 def test_merges_write_new_versions(spark, tables, tmp_dir):
     first, repriced = adapter.raw_products_versions(tables)
     out = merge_products(first, repriced, os.path.join(tmp_dir, "products_v2"))
-    assert spark.read.parquet(out).count() == 174
+    assert spark.read.parquet(out).count() == 210
     users_out = merge_users(adapter.raw_users(tables), adapter.user_signups(tables), os.path.join(tmp_dir, "users_v2"))
-    assert spark.read.parquet(users_out).count() == 150
+    assert spark.read.parquet(users_out).count() == 180
 
 
 def test_cli_jobs(spark, tables, tmp_dir):
@@ -65,7 +65,7 @@ def test_cli_jobs(spark, tables, tmp_dir):
     assert main(["load", "--table", "users", "--source", users, "--warehouse", wh, "--run-date", "2025-11-05"], spark)["loaded"]
     out = main(["merge", "--table", "products", "--current", products, "--batch", os.path.join(tmp_dir, "batch"),
                 "--out", os.path.join(tmp_dir, "products_v2")], spark)["out"]
-    assert spark.read.parquet(out).count() == 174
+    assert spark.read.parquet(out).count() == 210
     # a topic with one file, ingested once
     from fraudlens.sources.topic import publish_orders
 

@@ -18,7 +18,7 @@ def test_entry_flagship(spark):
         "user_id", "first_name", "email", "total_orders", "total_purchasing",
         "fraud_orders_count", "total_fraud_loss", "blacklist_status",
     ]
-    assert df.count() == 150
+    assert df.count() == 244
 
 
 def test_every_query_has_an_oracle():

@@ -68,7 +68,7 @@ def test_run_models_materializes_core_then_marts(spark, tables, tmp_dir):
     out = os.path.join(tmp_dir, "models")
     paths = run_models(spark, sources_from_tables(tables), out, as_of=AS_OF)
     assert set(paths) == set(CORE) | set(MARTS)
-    assert spark.read.parquet(paths["mart_users_blacklist"]).count() == 150
+    assert spark.read.parquet(paths["mart_users_blacklist"]).count() == 244
     assert spark.read.parquet(paths["fct_orders"]).count() == 5876
 
 
@@ -93,7 +93,7 @@ def test_stored_dims_broadcast_only_under_the_bound(spark, tables, tmp_dir):
     small = stored_graph(spark, paths)["mart_user_product_habit"]
     plan = _plan(small)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-    big = stored_graph(spark, paths, broadcast_max_rows=10)["mart_user_product_habit"]
+    big = stored_graph(spark, paths, broadcast_max_bytes=10)["mart_user_product_habit"]
     assert "BroadcastHashJoin" not in big._jdf.queryExecution().sparkPlan().toString()
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
 

@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from fraudlens.operators.ingest import ingest_orders, order_rejects
 from fraudlens.schemas import ORDERS
 from fraudlens.sources import adapter
@@ -86,21 +88,40 @@ def test_single_pass_mode_equals_two_queries(spark, tables, tmp_dir):
     assert spark.read.parquet(b["orders"]).count() == two.count()
 
 
-def test_dedup_with_map_side_combine(spark, tables, tmp_dir):
-    topic = os.path.join(tmp_dir, "topic")
+def test_dedup_keeps_late_originals_and_far_dates(spark, tables, tmp_dir):
+    """One file in a batch, events out of order and one dated 9999: as distinct()."""
+    topic, out = os.path.join(tmp_dir, "topic"), os.path.join(tmp_dir, "orders")
     raw = adapter.raw_orders_replayed(tables)
-    publish_orders(raw, topic)
-    # a replay storm: one event (order 1, line 1) published 200 more times
-    from pyspark.sql import functions as F
-
-    one = raw.filter(F.col("order_id").startswith("1-1-"))
-    storm = one.select(F.explode(F.array_repeat(F.struct(*raw.columns), 200)).alias("e")).select("e.*")
-    publish_orders(storm, topic)
-    outs = {}
-    for combine in (False, True):
-        out = os.path.join(tmp_dir, f"orders-{combine}")
-        start_order_ingest(spark, topic, out, os.path.join(tmp_dir, f"ck-{combine}"), available_now=True,
-                           dedup_delay="1 day", dedup_combine=combine).await_all()
-        outs[combine] = spark.read.schema(ORDERS).parquet(out)
-    assert _rows(outs[True]) == _rows(outs[False])
-    assert outs[True].count() == ingest_orders(raw).distinct().count()
+    publish_orders(raw.repartition(3), topic)
+    far = raw.limit(1).selectExpr("* EXCEPT (created_date)", "'9999-01-01T00:00:00' AS created_date")
+    publish_orders(far, topic)
+    start_order_ingest(spark, topic, out, os.path.join(tmp_dir, "ck"), available_now=True, dedup_delay="1 day",
+                       max_files_per_trigger=1).await_all()
+    want = ingest_orders(raw.unionByName(far.select(*raw.columns))).distinct()
+    assert _rows(spark.read.schema(ORDERS).parquet(out)) == _rows(want)
+
+
+def test_older_file_arriving_later_is_read(spark, tables, tmp_dir):
+    import glob
+    import time
+
+    topic, out, ckpt = (os.path.join(tmp_dir, n) for n in ("topic", "orders", "ckpt"))
+    raw = adapter.raw_orders(tables)
+    publish_orders(raw.limit(10).coalesce(1), topic)
+    start_order_ingest(spark, topic, out, ckpt, available_now=True).await_all()
+    before = set(glob.glob(topic + "/*.json"))
+    publish_orders(raw.limit(7).coalesce(1), topic)
+    old = time.time() - 30 * 86400
+    for f in set(glob.glob(topic + "/*.json")) - before:
+        os.utime(f, (old, old))
+    start_order_ingest(spark, topic, out, ckpt, available_now=True).await_all()
+    want = ingest_orders(raw.limit(10)).count() + ingest_orders(raw.limit(7)).count()
+    assert spark.read.schema(ORDERS).parquet(out).count() == want
+
+
+def test_output_without_its_checkpoint_is_refused(spark, tables, tmp_dir):
+    topic, out = os.path.join(tmp_dir, "topic"), os.path.join(tmp_dir, "orders")
+    publish_orders(adapter.raw_orders(tables).limit(5), topic)
+    start_order_ingest(spark, topic, out, os.path.join(tmp_dir, "a"), available_now=True, single_pass=True).await_all()
+    with pytest.raises(ValueError, match="checkpoint"):
+        start_order_ingest(spark, topic, out, os.path.join(tmp_dir, "b"), available_now=True, single_pass=True)
