@@ -40,7 +40,7 @@ def test_counts_from_the_blueprint(tables):
     assert adapter.raw_orders_replayed(tables).count() == 6116
     m = build_models(sources_from_tables(tables), as_of="2025-11-06 00:00:00")
     assert m["fct_orders"].count() == 5876
-    assert m["mart_users_blacklist"].count() == 150
+    assert m["mart_users_blacklist"].count() == 244
     assert m["mart_users_fraud_mostly"].count() == 97
     assert m["mart_user_product_habit"].count() == 5736
     assert m["mart_product_payment"].count() == 1295
