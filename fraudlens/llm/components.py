@@ -23,23 +23,24 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     costs a row for each task.
     """
     edges = written(_oriented(edges, "a", "b").distinct(), name)
+    before = _summary(edges)
     while True:
         # large star: edges both ways, the larger neighbours of a node go to its smallest
         both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = _oriented(both.where("b > a").join(least, "a"), "b", "m")
-        large = written(large.distinct(), name)
+        large = _oriented(both.where("b > a").join(least, "a"), "b", "m").distinct()
         # small star: a node's smaller neighbours, and itself, go to the smallest
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = _oriented(large.join(least, "a").select("b", "m"), "b", "m").unionByName(
             _oriented(least, "a", "m")
         )
-        small = written(small.distinct(), name)
-        if _same(edges, small):
-            return small.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-                small.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+        edges = written(small.distinct(), name)
+        after = _summary(edges)
+        if after == before:
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+                edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
             )
-        edges = small
+        before = after
 
 
 def _oriented(edges: DataFrame, x: str, y: str) -> DataFrame:
@@ -47,12 +48,10 @@ def _oriented(edges: DataFrame, x: str, y: str) -> DataFrame:
     return edges.where(F.col(x) != F.col(y)).select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b"))
 
 
-def _same(x: DataFrame, y: DataFrame) -> bool:
-    def summary(df):
-        half = F.xxhash64("a", "b").cast("decimal(38,0)")
-        return df.agg(F.count(F.lit(1)).alias("n"), F.sum(half).alias("s")).first()
-
-    return tuple(summary(x)) == tuple(summary(y))
+def _summary(edges: DataFrame) -> tuple:
+    """Number and hash total of the edges: two numbers, whatever the size."""
+    half = F.xxhash64("a", "b").cast("decimal(38,0)")
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(half)).first())
 
 
 def star_pairs(rows: DataFrame, key: str, member: str, most: int, partitions: int) -> DataFrame:
@@ -132,17 +131,19 @@ def close_links(
     rest: Callable[[DataFrame], DataFrame],
     rounds: int = 2,
 ) -> DataFrame:
-    """Links (a, b) that together with ``found`` join what large buckets hold.
+    """Links (a, b) with the components of ``found`` and of what large buckets hold.
 
     ``large`` has bucket and member (and what ``rest`` needs), ``found`` the links
     so far, ``tried`` the pairs already compared; ``verify`` gives the links among
     pairs.  In each round the members of a bucket outside its largest component
     are paired with one member of it, another in each bucket.  The pairs of the
     buckets that still span several components come from ``rest``, which gets their
-    rows with the component of each member.
+    rows with the component of each member.  A round starts from the flat trees of
+    the one before, so that only new links are left to follow.
     """
     for turn in range(rounds + 1):
         label = components(found).withColumnRenamed("node", "member")
+        found = label.where("member <> component").select(F.col("member").alias("a"), F.col("component").alias("b"))
         sized = label.join(label.groupBy("component").agg(F.count(F.lit(1)).alias("weight")), "component")
         rows = large.join(sized, "member", "left").withColumns(
             {"component": F.coalesce("component", "member"), "weight": F.coalesce("weight", F.lit(1))}
@@ -162,10 +163,3 @@ def close_links(
             found = written(found.unionByName(verify(new)), "links")
             tried = written(tried.unionByName(new), "tried")
     return found
-
-
-def across(rows: DataFrame) -> DataFrame:
-    """All pairs of a bucket's members from different components."""
-    x = rows.select("bucket", F.col("member").alias("a"), F.col("component").alias("of_a"))
-    y = rows.select("bucket", F.col("member").alias("b"), F.col("component").alias("of_b"))
-    return x.join(y, "bucket").where("of_a < of_b").select("a", "b")

@@ -111,6 +111,24 @@ def test_line_dedup_recall(spark):
     assert back.count() == 20
 
 
+def test_line_prefixes_lose_no_link(spark, monkeypatch):
+    r = random.Random(4)
+    base = " ".join(words(14, 3))
+    lines = [base]
+    while len(lines) < 80:  # chains of small changes, many near the threshold
+        x = r.choice(lines[-12:])
+        k = r.randrange(len(x))
+        lines.append(x[:k] + r.choice("qxz") + x[k + 1 :])
+    lines = list(dict.fromkeys(lines)) + ["short", "x"]
+    table = spark.createDataFrame([(bytes([i]), bytes([i]), x) for i, x in enumerate(lines)], "member binary, component binary, line string")
+    sets = [line_dedup.shingles(x) for x in lines]
+    want = {(a, b) for a in range(len(lines)) for b in range(a + 1, len(lines)) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    for hot in (line_dedup.HOT, 5):  # frequent shingles in one part and in several
+        monkeypatch.setattr(line_dedup, "HOT", hot)
+        got = {(x.a[0], x.b[0]) for x in line_dedup.prefix_pairs(table).collect()}
+        assert want <= got and 0 < len(want) < len(lines) ** 2 // 4
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(1, 9), (9, 5), (7, 7)]
     found = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
