@@ -60,6 +60,8 @@ SMALL = 511
 #: Members of a bucket that are all paired at once.
 ALL_PAIRS = 12
 ROUNDS = 1
+#: Shingles of the sets that a verifying task keeps, about 100 bytes each.
+KEPT_SHINGLES = 500_000
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -217,18 +219,29 @@ def _shingles(text: str, n: int) -> set:
 
 def _verify(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple = (None, set())
+        kept: dict[int, set] = {}  # sets of documents seen lately: members of a group come often
+        total = 0
+
+        def of(member: int, text: pa.StringScalar) -> set:
+            nonlocal total
+            own = kept.get(member)
+            if own is None:
+                own = _shingles(text.as_py(), n)
+                total += len(own)
+                if total > KEPT_SHINGLES:
+                    kept.clear()
+                    total = len(own)
+                kept[member] = own
+            return own
+
         for batch in batches:
             found: list[tuple[int, int, int, bool]] = []
-            rows = zip(*(batch.column(c) for c in ("a", "b", "text_a", "text_b")), strict=True)
-            for a, b, x, y in rows:
-                b = b.as_py()
-                if last[0] != b:
-                    last = (b, _shingles(y.as_py(), n))
-                left, right = _shingles(x.as_py(), n), last[1]
+            first, second = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+            for a, b, x, y in zip(first, second, batch.column("text_a"), batch.column("text_b"), strict=True):
+                left, right = of(a, x), of(b, y)
                 both = len(left & right)
-                total = len(left) + len(right) - both
-                found.append((a.as_py(), b, total - both, 100 * both >= 80 * total > 0))
+                union = len(left) + len(right) - both
+                found.append((a, b, union - both, 100 * both >= 80 * union > 0))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([f[i] for f in found], pa.bool_() if i == 3 else pa.int64()) for i in range(4)],
                 names=["a", "b", "differ", "linked"],
@@ -242,8 +255,10 @@ def measured(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
     their Jaccard similarity is 0.8 or more (linked), by the words."""
     ends = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
     own = restricted(texts, ends, "doc_id")
+    partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     left = pairs.join(own.withColumnsRenamed({"doc_id": "a", "text": "text_a"}), "a")
-    both = left.join(own.withColumnsRenamed({"doc_id": "b", "text": "text_b"}), "b")
+    # the work is more than the bytes tell, so these partitions are not coalesced
+    both = left.repartition(partitions, "b").join(own.withColumnsRenamed({"doc_id": "b", "text": "text_b"}), "b")
     found = both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(n), "a long, b long, differ long, linked boolean")
     return written(found, "measured")
 
