@@ -48,7 +48,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Findings by place and digest; a secret's text isn't copied."""
     found = secret_scan.secret_scan(read_table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "word_no", F.sha2(F.col("run").cast("binary"), 256).alias("run_sha256"), "score", "secret")
+    return found.select("doc_id", "word_no", "offset", F.sha2(F.col("run").cast("binary"), 256).alias("run_sha256"), "score", "secret")
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
