@@ -3,6 +3,7 @@
 import random
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,6 +112,21 @@ def test_line_dedup_recall(spark):
     assert back.count() == 20
 
 
+def test_short_lines_meet_as_often_as_long_ones():
+    r = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    for n in (5, 10, 15, 20, 35, 100):  # shingles; of the second line four fifths, so the similarity is 0.8
+        lines = ["".join(r.choices(letters, k=n + line_dedup.SHINGLE - 1)) for _ in range(1500)]
+        a = line_dedup.band_keys(line_dedup.signatures(lines))
+        b = line_dedup.band_keys(line_dedup.signatures([x[: -(n // 5)] for x in lines]))
+        assert (a == b).any(axis=1).mean() >= 0.99, n
+        assert (a == np.roll(b, 1, axis=0)).any(axis=1).mean() < 0.01
+    # equal shingles have equal minima wherever a line stands
+    lines = ["x" * k for k in (1, 7, 8, 9, 40_000)] + ["abcdefgh" * 9000, "tail line of it"]
+    together = line_dedup.signatures(lines)
+    assert all((line_dedup.signatures([x])[0] == together[i]).all() for i, x in enumerate(lines))
+
+
 def test_line_prefixes_lose_no_link(spark, monkeypatch):
     r = random.Random(4)
     base = " ".join(words(14, 3))
