@@ -7,10 +7,13 @@ items meet in a hash join.  Two readings of a text are joined, one in which name
 are placeholders and one in which they are words, so that a passage whose case was
 changed is found as well.
 
-The windows that a document and an item share are then checked: along one
-alignment (a fixed distance between the positions in both) the values that fill
-the slots must map one to one.  A document is contaminated by an item if the
-consistent alignments cover at least ``share`` of the item's windows.
+The windows that a document and an item share are then checked along their
+alignment (a fixed distance between the positions in both).  A window with the
+item's own values counts in any case, one with other values if the alignment's
+names map one to one.  Numbers need not: equal ones may be so by chance, and become
+different ones, or the other way.  A document is contaminated by an item if the
+counted windows are at least ``share`` of the item's, or if ``RUN`` tokens in a row
+are covered by windows of one alignment, as a long item may be quoted in part.
 
 Before the join, a bit map of the item windows' hashes (a fixed 2 MB, whatever
 the size of the benchmark) drops document windows that cannot match.
@@ -33,6 +36,8 @@ from fraudlens.llm.words import joined, mixed, owners, rolling, span_hashes, wor
 
 WINDOW = 5
 SHARE = 0.5
+#: Tokens in a row that are a leak by themselves, whatever share of the item they are.
+RUN = 13
 LEAST_WORDS = 4
 #: Words, not slots, in a window of WINDOW at least; less would match by chance.
 LEAST_LITERAL = 3
@@ -135,10 +140,10 @@ def windows(tokens: Tokens, n: int) -> list[tuple[np.ndarray, np.ndarray, np.nda
 
 
 def _slots(tokens: Tokens, at: np.ndarray, bits: np.ndarray) -> list[list[int]]:
-    """Values that fill the slots of each window, in order."""
+    """Values that fill the slots of each window, in order; those of names are odd."""
     if not bits.any():
         return [[]] * len(at)
-    value = tokens.value.view(np.int64)
+    value = (tokens.value & ~np.uint64(1) | (~tokens.number).astype(np.uint64)).view(np.int64)
     return [[int(value[a + j]) for j in range(b.bit_length()) if b >> j & 1] if b else [] for a, b in zip(at.tolist(), bits.tolist(), strict=True)]
 
 
@@ -226,18 +231,23 @@ def decontaminate(
     # one alignment has at most one window of a position and reading, so at most
     # as many values as the item has tokens
     values = F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("item_slots", "slots"))))
-    aligned = met.groupBy(*pair).agg(F.collect_set("item_position").alias("found"), values.alias("filled"))
-    one_to_one = (F.size(F.array_distinct("filled.item_slots")) == F.size("filled")) & (
-        F.size(F.array_distinct("filled.slots")) == F.size("filled")
+    own = F.col("item_slots") == F.col("slots")
+    aligned = met.groupBy(*pair).agg(
+        F.collect_set("item_position").alias("all"), F.collect_set(F.when(own, F.col("item_position"))).alias("own"), values.alias("filled")
     )
+    names = F.filter("filled", lambda v: v["slots"] % 2 != 0)
+    aligned = aligned.withColumn("names", names)
+    one_to_one = (F.size(F.array_distinct("names.item_slots")) == F.size("names")) & (F.size(F.array_distinct("names.slots")) == F.size("names"))
     changed = F.exists("filled", lambda v: v["item_slots"] != v["slots"])
+    aligned = aligned.withColumn("found", F.array_sort(F.when(one_to_one, F.col("all")).otherwise(F.col("own"))))
+    row = max(RUN - n, 0)  # windows after the first that cover RUN tokens
+    long = F.exists(F.transform("found", lambda p, i: F.get("found", i + row) == p + row), lambda x: F.coalesce(x, F.lit(False)))
     return (
-        aligned.where(one_to_one)
-        .select("doc_id", "item_id", changed.alias("changed"), F.explode("found").alias("p"))
+        aligned.select("doc_id", "item_id", changed.alias("changed"), long.alias("long"), F.explode("found").alias("p"))
         .groupBy("doc_id", "item_id")
-        .agg(F.countDistinct("p").alias("windows"), F.min("changed").alias("changed"))
+        .agg(F.countDistinct("p").alias("windows"), F.min("changed").alias("changed"), F.max("long").alias("long"))
         .join(total.withColumnRenamed("id", "item_id"), "item_id")
         .withColumn("share", F.col("windows") / F.col("item_windows"))
-        .where(F.col("share") >= share)
+        .where((F.col("share") >= share) | F.col("long"))
         .select("doc_id", "item_id", "windows", "item_windows", "share", "changed")
     )

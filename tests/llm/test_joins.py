@@ -162,6 +162,21 @@ def test_leaks_with_other_numbers_and_names(spark):
     assert found == {1: (9, False), 2: (9, True), 3: (9, False)}
 
 
+def test_leaks_with_a_conflict_in_a_slot(spark):
+    train = "A train leaves Boston at 60 and Maria pays 25 dollars; how far does Maria go in 60 and why does the train stop early?"
+    fruit = "He has 3 apples and 3 oranges, how many fruits does he have?"
+    story = " ".join(words(200, 1)).replace("w", "q")
+    quoted = " ".join(story.split()[40:56])
+    rows = [
+        (1, train.replace("in 60", "in 13")), (2, train.replace("does Maria", "does Peter")), (3, fruit.replace("3 a", "5 a").replace("3 o", "7 o")),
+        (4, train.replace("25", "60")), (5, "so it was " + quoted + " and then"), (6, "so it was " + " ".join(quoted.split()[:9]) + " and then"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, train), (2, fruit), (3, story)], "item_id long, text string")
+    found = {r.doc_id: (r.item_id, r.changed) for r in decontaminate.decontaminate(docs, items).collect()}
+    assert found == {1: (1, True), 2: (1, True), 3: (2, True), 4: (1, True), 5: (3, False)}
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
