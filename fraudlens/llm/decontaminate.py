@@ -15,17 +15,25 @@ different ones, or the other way.  A document is contaminated by an item if the
 counted windows are at least ``share`` of the item's, or if ``RUN`` tokens in a row
 are covered by windows of one alignment, as a long item may be quoted in part.
 
+An item without such windows (mostly numbers, as windows need LEAST_LITERAL words) is
+searched by exact windows of all its words and numbers, as they stand.  In scripts
+without blanks each character is a word.
+
 Before the join, a bit map of the item windows' hashes (a fixed 2 MB, whatever
 the size of the benchmark) drops document windows that cannot match.
 
 Results in odd cases: null and empty texts match nothing; an item of fewer than
 ``n`` tokens is one shorter window, and one of fewer than ``LEAST_WORDS`` tokens is not
-searched, as chance would find it everywhere; repeated rows give repeated pairs
+searched, as chance would find it everywhere, and a warning says how many these are
+(:func:`unsearched` lists them); repeated rows give repeated pairs
 once; rows without an id match nothing; empty tables give an empty result.
 """
 
 from __future__ import annotations
 
+import re
+import warnings
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -62,6 +70,20 @@ _IS_CAPITAL = np.zeros(256, bool)
 _IS_CAPITAL[65:91] = True
 
 
+#: Characters of scripts without blanks (Thai, Lao, Burmese, Khmer, kana, Han), and their marks.
+_ALONE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+_WIDE_MARKS = re.compile("[\u3000-\u303f\u30fb\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]")
+#: Added to the hash of an exact window, so that it meets exact windows only.
+EXACT = np.uint64(0x5EED0E8AC7)
+
+
+def _apart(text: str) -> str:
+    """The text with blanks around each character of a script without blanks."""
+    if text.isascii() or not _ALONE.search(text):
+        return text
+    return _ALONE.sub(r" \g<0> ", _WIDE_MARKS.sub(" ", text))
+
+
 def _hash_of(word: str) -> int:
     data = np.frombuffer(word.encode(), np.uint8)
     return int(span_hashes(data, np.array([0]), np.array([len(data)]))[0])
@@ -74,15 +96,18 @@ NUMBER, NAME = np.uint64(_hash_of("<number>")), np.uint64(_hash_of("<name>"))
 class Tokens:
     """Template tokens of several texts: ``plain`` with slots for numbers only,
     ``named`` with slots for names too, the hash of the ``value`` of each token, and
-    the number of the ``text`` it is in."""
+    the number of the ``text`` it is in.  ``word`` and ``word_text`` have the hash and
+    text of each word or part of a number, as it stands."""
 
     def __init__(self, texts: list[str]):
-        raw = [t.encode("utf-8", "replace") for t in texts]
+        raw = [_apart(t).encode("utf-8", "replace") for t in texts]
         original, begins = joined(raw)
         buffer = np.frombuffer(original.tobytes().translate(_PLAIN).translate(_LOWER), np.uint8)
         starts, ends = word_spans(buffer)
         text = owners(starts, begins)
         value = span_hashes(buffer, starts, ends)
+        self.word, self.word_text = value, text
+        self.word_first = np.searchsorted(text, np.arange(len(texts) + 1))
         number = _IS_DIGIT[buffer[starts]] if len(starts) else np.zeros(0, bool)
         # a unit right after a number, and further parts of a number, belong to it
         after = np.zeros(len(starts), bool)
@@ -147,11 +172,19 @@ def _slots(tokens: Tokens, at: np.ndarray, bits: np.ndarray) -> list[list[int]]:
     return [[int(value[a + j]) for j in range(b.bit_length()) if b >> j & 1] if b else [] for a, b in zip(at.tolist(), bits.tolist(), strict=True)]
 
 
-_COLUMNS = "id long, n_tokens long, position int, key long, slots array<long>"
+def exact_windows(tokens: Tokens, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and first words of the windows of ``n`` words and numbers as they stand."""
+    if len(tokens.word) < n:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    at = np.flatnonzero(tokens.word_text[: len(tokens.word) - n + 1] == tokens.word_text[n - 1 :])
+    return mixed(rolling(tokens.word, n)[at] + np.uint64(n) + EXACT), at
 
 
-def _rows(tokens: Tokens, ids: list, sizes: list[int], keep) -> dict:
-    out = {name: [] for name in ("id", "n_tokens", "position", "key", "slots")}
+_COLUMNS = "id long, n_tokens long, exact boolean, position int, key long, slots array<long>"
+
+
+def _rows(tokens: Tokens, ids: list, sizes: list[int], exact_sizes: list[int], keep, keep_exact) -> dict:
+    out = {name: [] for name in ("id", "n_tokens", "exact", "position", "key", "slots")}
     length = np.diff(tokens.first)
     for n in sizes:
         for hashes, at, bits in windows(tokens, n):
@@ -163,11 +196,26 @@ def _rows(tokens: Tokens, ids: list, sizes: list[int], keep) -> dict:
             out["position"] += (at - tokens.first[of]).tolist()
             out["key"] += hashes.view(np.int64).tolist()
             out["slots"] += _slots(tokens, at, bits)
+    out["exact"] = [False] * len(out["id"])
+    have = set(out["id"])
+    length = np.diff(tokens.word_first)
+    for n in exact_sizes:
+        hashes, at = exact_windows(tokens, n)
+        chosen = keep_exact(hashes, at, n, have)
+        hashes, at = hashes[chosen], at[chosen]
+        of = tokens.word_text[at]
+        out["id"] += [ids[i] for i in of.tolist()]
+        out["n_tokens"] += length[of].tolist()
+        out["exact"] += [True] * len(at)
+        out["position"] += (at - tokens.word_first[of]).tolist()
+        out["key"] += hashes.view(np.int64).tolist()
+        out["slots"] += [[]] * len(at)
     return out
 
 
 def item_windows(items: DataFrame, n: int) -> DataFrame:
-    """Windows of the benchmark: ``n`` tokens, or the whole of a shorter item."""
+    """Windows of the benchmark: ``n`` tokens, or the whole of a shorter item; exact
+    ones of an item that has no others."""
 
     def run(batch: pa.RecordBatch) -> dict:
         tokens = Tokens(batch.column("text").to_pylist())
@@ -177,12 +225,26 @@ def item_windows(items: DataFrame, n: int) -> DataFrame:
             own = length[tokens.text[at]]
             return own >= n if size == n else own == size
 
-        return _rows(tokens, batch.column("doc_id").to_pylist(), [*range(LEAST_WORDS, n), n], keep)
+        ids = batch.column("doc_id").to_pylist()
+        words = np.diff(tokens.word_first)
+
+        def keep_exact(hashes, at, size, have):
+            of = tokens.word_text[at]
+            without = np.array([i not in have for i in ids], bool)
+            return without[of] & ((words[of] >= n) if size == n else (words[of] == size))
+
+        sizes = [*range(LEAST_WORDS, n), n]
+        return _rows(tokens, ids, sizes, sizes, keep, keep_exact)
 
     return map_slices(items, run, _COLUMNS)
 
 
-def document_windows(docs: DataFrame, n: int, sizes: list[int], bit_map: np.ndarray) -> DataFrame:
+def unsearched(items: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id and text of the items that have no window at all."""
+    return items.join(benchmark.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_anti")
+
+
+def document_windows(docs: DataFrame, sizes: list[int], exact_sizes: list[int], bit_map: np.ndarray) -> DataFrame:
     """Windows of documents whose hash the bit map has."""
     shared = docs.sparkSession.sparkContext.broadcast(bit_map)
 
@@ -193,7 +255,7 @@ def document_windows(docs: DataFrame, n: int, sizes: list[int], bit_map: np.ndar
             place = hashes >> np.uint64(64 - MAP_BITS)
             return (shared.value[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) > 0
 
-        return _rows(tokens, batch.column("doc_id").to_pylist(), sizes, keep)
+        return _rows(tokens, batch.column("doc_id").to_pylist(), sizes, exact_sizes, keep, lambda hashes, at, size, have: keep(hashes, at, size))
 
     return map_slices(docs, run, _COLUMNS)
 
@@ -220,12 +282,17 @@ def decontaminate(
     """doc_id, item_id, windows (of the item found in the document), item_windows,
     share and changed (True if a slot's value differs) of each contaminated pair."""
     docs = texts_of(docs, id_col, text_col).where(F.col("doc_id").isNotNull())
-    benchmark = written(item_windows(texts_of(items, item_col, item_text_col).where(F.col("doc_id").isNotNull()).distinct(), n), "items")
+    items = texts_of(items, item_col, item_text_col).where(F.col("doc_id").isNotNull()).distinct()
+    benchmark = written(item_windows(items, n), "items")
+    left = unsearched(items, benchmark).count()
+    if left:
+        warnings.warn(f"{left} benchmark items have fewer than {LEAST_WORDS} words and are not searched", stacklevel=2)
     # the lengths of windows: few numbers, up to n
-    sizes = [r["s"] for r in benchmark.select(F.least("n_tokens", F.lit(n)).alias("s")).distinct().collect()]
+    used = benchmark.select("exact", F.least("n_tokens", F.lit(n)).alias("s")).distinct().collect()
+    sizes, exact_sizes = [[r["s"] for r in used if r["exact"] == e] for e in (False, True)]
     total = benchmark.groupBy("id").agg(F.countDistinct("position").alias("item_windows"))
     ours = benchmark.select(F.col("id").alias("item_id"), F.col("position").alias("item_position"), "key", F.col("slots").alias("item_slots"))
-    theirs = document_windows(docs, n, sizes, _bit_map(benchmark)).withColumnRenamed("id", "doc_id")
+    theirs = document_windows(docs, sizes, exact_sizes, _bit_map(benchmark)).select(F.col("id").alias("doc_id"), "position", "key", "slots")
     met = theirs.join(ours, "key").where(F.size("slots") == F.size("item_slots"))
     pair = ["doc_id", "item_id", (F.col("position") - F.col("item_position")).alias("distance")]
     # one alignment has at most one window of a position and reading, so at most

@@ -177,6 +177,16 @@ def test_leaks_with_a_conflict_in_a_slot(spark):
     assert found == {1: (1, True), 2: (1, True), 3: (2, True), 4: (1, True), 5: (3, False)}
 
 
+def test_leaks_of_numbers_and_scripts_without_blanks(spark):
+    texts = {1: "12 + 7 * 5 - 3 = ?", 2: "2, 3, 5, 7, 11, 13, 17", 3: "一列火车以每小时60公里的速度离开北京，什么时候到达上海？", 4: "รถไฟออกจากกรุงเทพตอนเช้า", 5: "電車は何時に東京を出ますか。", 6: "1,2,3,4,5,6"}
+    rows = [(i, f"before {t} after") for i, t in texts.items()] + [(20, "12 + 7 * 9 - 3 = ?"), (21, "火车很快"), (22, "2, 3, 5, 8, 13, 21")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([*texts.items(), (7, "too few words"), (8, None)], "item_id long, text string")
+    with pytest.warns(UserWarning, match="2 benchmark items"):
+        found = decontaminate.decontaminate(docs, items).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(i, i) for i in texts}
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
