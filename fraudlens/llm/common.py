@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import fraudlens
@@ -81,6 +81,13 @@ def without(rows: DataFrame, ids: DataFrame, key: str, limit: int = BROADCAST_ID
     return rows.hint("merge").join(ids, key, "left_anti")
 
 
+def sampled(share: Column | float, *keys: str) -> Column:
+    """True for about ``share`` of the rows, by a hash of ``keys`` to 63 bits, so that a
+    share of many billions of rows is not rounded to nothing."""
+    share = share if isinstance(share, Column) else F.lit(float(share))
+    return F.shiftrightunsigned(F.xxhash64(*keys), 1).cast("double") < share * 2.0**63
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each holds about ``most`` bytes of text."""
     for batch in batches:

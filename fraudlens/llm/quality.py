@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudlens.llm.common import map_slices, texts_of
+from fraudlens.llm.common import map_slices, sampled, texts_of
 
 #: Texts that the scorer is fitted on at most; the votes of all texts are counted.
 SAMPLE_ROWS = 8000
@@ -225,8 +225,9 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[LabelModel,
     counts = {r["votes"].encode(): r["count"] for r in counted}
     total = sum(counts.values())
     model = fit_labels(counts)
-    share = int(min(1.0, sample_rows / max(1, total)) * 1_000_000)
-    chosen = docs.where(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1_000_000)) < share).limit(sample_rows * 5 // 4)
+    if sample_rows < total:
+        docs = docs.where(sampled(sample_rows / total, "doc_id", F.length("text")))
+    chosen = docs.limit(sample_rows * 5 // 4)
 
     def run(batch: pa.RecordBatch) -> dict:
         own = [profile(t) for t in batch.column("text").to_pylist()]
@@ -237,7 +238,10 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[LabelModel,
             "value": [list(map(float, h.values())) for h in hashed],
         }
 
-    rows = [r for r in map_slices(chosen, run, "votes string, at array<int>, value array<double>").collect() if r["at"]]
+    rows = map_slices(chosen, run, "votes string, at array<int>, value array<double>").collect()
+    if total and not rows:
+        raise ValueError(f"no sample of {total} rows; are their ids and lengths all equal?")
+    rows = [r for r in rows if r["at"]]
     rows.sort(key=lambda r: (r["votes"], r["at"], r["value"]))
     target = model.posterior([r["votes"].encode() for r in rows]) if rows else np.zeros(0)
     return model, fit_scorer([dict(zip(r["at"], r["value"], strict=True)) for r in rows], target)

@@ -30,7 +30,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fraudlens.llm.common import texts_of, written
+from fraudlens.llm.common import sampled, texts_of, written
 
 #: Labelled findings of each class that the forest is trained on at most.
 SAMPLE_ROWS = 10_000
@@ -209,10 +209,11 @@ def train(labelled: DataFrame) -> RandomForestClassificationModel | None:
     sizes = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
     if len(sizes) < 2:
         return None
-    turn = F.pmod(F.xxhash64("run", "doc_id", "word_no"), F.lit(1_000_000))
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, int(min(1.0, SAMPLE_ROWS / n) * 1_000_000))])
-    sample = labelled.where(turn < F.element_at(share, F.col("label"))).limit(3 * SAMPLE_ROWS).select("label", *FEATURES)
-    table = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(written(sample, "findings"))
+    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, SAMPLE_ROWS / n if n > SAMPLE_ROWS else 2.0)])
+    sample = written(labelled.where(sampled(F.element_at(share, F.col("label")), "run", "doc_id", "word_no")).limit(3 * SAMPLE_ROWS).select("label", *FEATURES), "findings")
+    if sample.select("label").distinct().count() < len(sizes):
+        raise ValueError(f"a class of the labelled findings has no sample: {sizes}")
+    table = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample)
     return RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(table)
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fraudlens.llm.common import map_slices, restricted, texts_of
+from fraudlens.llm.common import map_slices, restricted, sampled, texts_of
 from fraudlens.llm.words import joined, mixed, owners, span_hashes, word_spans
 
 #: Labelled rows of each class in the training sample at most, and the longest
@@ -254,11 +254,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str) -> DataF
         .where((fold(F.col("doc_id")) != 0) & F.col("target").isin(0, 1))
     )
     sizes = {r["target"]: r["count"] for r in marked.groupBy("target").count().collect()}
-    turn = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    parts = [
-        marked.where((F.col("target") == k) & (turn < int(min(1.0, SAMPLE_ROWS / sizes[k]) * 1_000_000))).limit(SAMPLE_ROWS * 5 // 4)
-        for k in sizes
-    ]
+    parts = []
+    for k, n in sizes.items():
+        part = marked.where(F.col("target") == k)
+        if n > SAMPLE_ROWS:
+            part = part.where(sampled(SAMPLE_ROWS / n, "doc_id")).limit(SAMPLE_ROWS * 5 // 4)
+            if part.isEmpty():
+                raise ValueError(f"no sample of the {n} rows labelled {k}")
+        parts.append(part)
     chosen = parts[0] if parts else marked.limit(0)
     for p in parts[1:]:
         chosen = chosen.unionByName(p)

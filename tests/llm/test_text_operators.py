@@ -130,3 +130,19 @@ def test_every_secret_of_a_word(spark):
     rows = spark.range(40).selectExpr("id AS doc_id", f"concat('a=', substr('{key}', 1, 16), 1000 + id, ',b=justsomeordinarywordshere,password=x', id, 'y!') AS text")
     secret = {(r.doc_id, r.run) for r in secret_scan.secret_scan(rows).collect() if r.secret}
     assert secret == {(i, k) for i in range(40) for k in (f"x{i}y!", key[:16] + str(1000 + i))}
+
+
+def test_samples_of_very_large_tables(spark, odd, monkeypatch):
+    many = spark.range(6_000_000).withColumnRenamed("id", "doc_id")
+    monkeypatch.setattr(toxicity, "SAMPLE_ROWS", 5)
+    drawn = toxicity.labelled_sample(many.select("doc_id", F.lit("x").alias("text")), many.select("doc_id", (F.col("doc_id") < 90).cast("int").alias("toxic")), "toxic")
+    counts = {r["target"]: r["count"] for r in drawn.groupBy("target").count().collect()}
+    assert 0 < counts[0] <= 6 and 0 < counts[1] <= 6  # a share below a millionth isn't none
+    monkeypatch.setattr(secret_scan, "SAMPLE_ROWS", 5)
+    labelled = many.select("doc_id", F.lit(0).alias("word_no"), F.col("doc_id").cast("string").alias("run"), (F.col("doc_id") < 90).cast("double").alias("label"))
+    shown = labelled.withColumns({c: F.when(F.col("label") == 1, 1.0).otherwise(0.0) for c in secret_scan.FEATURES})
+    trees = secret_scan.train(shown)
+    assert any(t.depth > 0 for t in trees.trees)  # both classes were seen
+    same = spark.range(2000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("equal").alias("text"))
+    with pytest.raises(ValueError, match="no sample"):
+        quality.train(same, 1)
