@@ -22,9 +22,8 @@ are spread over many tasks.
 
 Results in odd cases: a null or empty text has no words and an empty kept text;
 texts shorter than a window lose nothing; repeated rows repeat all their
-windows; rows without an id have windows like others but can't be told apart,
-and are returned once each with what their windows lose elsewhere unknown, so
-they keep all words; an empty table gives an empty result; other columns are
+windows; rows without an id, or with one that others have, are rows like others; an
+empty table gives an empty result; other columns are
 ignored.
 """
 
@@ -255,18 +254,19 @@ def _keep(k: int):
 def substring_dedup(docs: DataFrame, k: int = WINDOW, m: int = RUN, split: int = SPLIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of each row: the words left
     after removing all that a window covers whose words occur again anywhere.
-    Ids must be unique.  ``k - m`` must be below 63."""
-    docs = texts_of(docs, id_col, text_col)
+    ``k - m`` must be below 63."""
+    # rows are told apart by a number of their own, given once; doc_id is only carried along
+    docs = texts_of(docs, id_col, text_col).withColumnRenamed("doc_id", "own_id")
+    docs = written(docs.withColumn("doc_id", F.monotonically_increasing_id()), "numbered")
     cuts = written(
         map_slices(
-            docs, lambda b: _cut(b, k, m),
-            "doc_id long, n_words long, sha256 string, minimisers array<long>, windows array<int>, weights array<byte>",
+            docs, lambda b: {**_cut(b, k, m), "own_id": b.column("own_id")},
+            "doc_id long, own_id long, n_words long, sha256 string, minimisers array<long>, windows array<int>, weights array<byte>",
         ),
         "superkmers",
     )
-    identified = cuts.where(F.col("doc_id").isNotNull())
     shared = (
-        identified.select(F.explode(F.arrays_zip("minimisers", "weights")).alias("c"))
+        cuts.select(F.explode(F.arrays_zip("minimisers", "weights")).alias("c"))
         .groupBy(F.col("c.minimisers").alias("minimiser"))
         .agg(F.sum("c.weights").alias("n"))
         .where("n > 1")
@@ -275,7 +275,7 @@ def substring_dedup(docs: DataFrame, k: int = WINDOW, m: int = RUN, split: int =
     last = F.col("n_words") - (k - 1)
     following = F.concat(F.slice("windows", 2, F.greatest(F.size("windows"), F.lit(1))), F.array(last.cast("int")))
     pieces = (
-        identified.where(F.size("windows") > 0)
+        cuts.where(F.size("windows") > 0)
         .select("doc_id", F.explode(F.arrays_zip("minimisers", "windows", following.alias("ends"))).alias("c"))
         .select("doc_id", F.col("c.minimisers").alias("minimiser"), F.col("c.windows").alias("window"), F.col("c.ends").alias("end"))
     )
@@ -304,7 +304,7 @@ def substring_dedup(docs: DataFrame, k: int = WINDOW, m: int = RUN, split: int =
     marked = places.join(marks, "digest").groupBy("doc_id").agg(F.collect_list(F.struct("window", "mask")).alias("marks"))
     changed = written(map_slices(texts.join(marked, "doc_id"), _keep(k), "doc_id long, removed long, kept string"), "kept")
     return cuts.join(changed, "doc_id", "left").select(
-        "doc_id",
+        F.col("own_id").alias("doc_id"),
         "n_words",
         F.coalesce("removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("kept", "sha256").alias("kept_sha256"),

@@ -64,6 +64,14 @@ def test_substring_dedup_is_exact(docs):
     same(substring_dedup.substring_dedup(docs, split=3), "op1_substring_dedup", docs)
 
 
+def test_substring_dedup_of_rows_without_own_ids(spark):
+    passage, other = (" ".join(words(40, i)) for i in (901, 902))
+    rows = [(1, "a " + passage), (None, "b c " + passage), (None, other), (2, other + " d"), (2, "e " + passage), (None, None), (3, " ".join(words(50, 903)))]
+    found = substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = sorted((r.doc_id or 0, r.n_words, r.n_removed) for r in found)
+    assert got == [(0, 0, 0), (0, 40, 40), (0, 42, 40), (1, 41, 40), (2, 41, 40), (2, 41, 40), (3, 50, 0)]
+
+
 def test_exact_dedup(docs):
     def shaped(df):
         return df.select("doc_id", "keep_id", "group_size", "kept", F.sha2(F.lit(""), 256).alias("text_sha256"))
