@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fraudlens.functions.amount import amount_value
 from fraudlens.functions.rules import fraud_status
-from fraudlens.functions.timefmt import parse_wall_clock
+from fraudlens.functions.timefmt import may_be_on, with_wall_clock
 from fraudlens.schemas import CORRUPT_COL, ORDER_LENGTHS, RAW_ORDER
 
 # --- fixed values: reject reasons ------------------------------------------
@@ -24,37 +24,38 @@ TOO_LONG = "too_long"
 
 
 def _with_checks(raw: DataFrame) -> DataFrame:
-    has_corrupt = CORRUPT_COL in raw.columns
-    corrupt = F.col(CORRUPT_COL) if has_corrupt else F.lit(None).cast("string")
+    """Raw columns and what the checks read, each worked out once for each line."""
+    corrupt = F.col(CORRUPT_COL) if CORRUPT_COL in raw.columns else F.lit(None).cast("string")
     # the topic gives a quantity as text; one that is no whole number makes the line bad
     quantity = F.col("quantity").cast("string").try_cast("int")
-    mistyped = F.col("quantity").isNotNull() & quantity.isNull()
-    line = F.to_json(F.struct(*[F.col(c) for c in RAW_ORDER.fieldNames()]))
-    return raw.select(
-        *[quantity.alias(c) if c == "quantity" else F.col(c) for c in RAW_ORDER.fieldNames()],
-        F.coalesce(corrupt, F.when(mistyped, line)).alias("_raw_line"),
-        amount_value("amount").alias("_amount"),
-        parse_wall_clock("created_date").alias("_ts"),
+    lines = raw.select(*RAW_ORDER.fieldNames(), corrupt.alias("_corrupt"), quantity.alias("_quantity"))
+    return with_wall_clock(
+        lines,
+        "created_date",
+        "_ts",
+        _amount=amount_value("amount"),
+        _bad_line=F.col("_corrupt").isNotNull() | (F.col("quantity").isNotNull() & F.col("_quantity").isNull()),
+        _too_long=_too_long(),
     )
 
 
+def _too_long():
+    longer = F.lit(False)
+    for name, most in ORDER_LENGTHS.items():
+        longer = longer | F.coalesce(F.length(name) > most, F.lit(False))
+    return longer
+
+
 def _reason():
     # checked in the order of the original flow: line, then amount, then date
     return (
-        F.when(F.col("_raw_line").isNotNull(), F.lit(BAD_JSON))
+        F.when(F.col("_bad_line"), F.lit(BAD_JSON))
         .when(F.col("_amount").isNull(), F.lit(BAD_AMOUNT))
         .when(F.col("_ts").isNull(), F.lit(BAD_DATE))
-        .when(_too_long(), F.lit(TOO_LONG))
+        .when(F.col("_too_long"), F.lit(TOO_LONG))
     )
 
 
-def _too_long():
-    longer = F.lit(False)
-    for name, most in ORDER_LENGTHS.items():
-        longer = longer | F.coalesce(F.length(name) > most, F.lit(False))
-    return longer
-
-
 def ingest_orders(raw: DataFrame) -> DataFrame:
     """Raw events -> ingested orders (ORDERS schema) with a fraud verdict.
 
@@ -63,30 +64,38 @@ def ingest_orders(raw: DataFrame) -> DataFrame:
     column are dropped (see :func:`order_rejects`).  The stored
     ``amount`` keeps its raw text; the staging model cleans it again.
     """
-    checked = _with_checks(raw).filter(_reason().isNull())
-    return checked.select(
+    good = ~F.col("_bad_line") & F.col("_amount").isNotNull() & F.col("_ts").isNotNull() & ~F.col("_too_long")
+    return _with_checks(raw).filter(good).select(
         "order_id",
         "user_id",
         "product_id",
-        "quantity",
+        F.col("_quantity").alias("quantity"),
         "amount",
         "payment_method",
         "country",
         F.col("_ts").alias("created_date"),
-        fraud_status(F.hour("_ts"), "_amount", "quantity", "country", "payment_method").alias("status"),
+        fraud_status(F.hour("_ts"), "_amount", "_quantity", "country", "payment_method").alias("status"),
     )
 
 
+def ingest_day(raw: DataFrame, run_date) -> DataFrame:
+    """The ingested orders of the day before ``run_date``, straight from raw events: texts
+    that can't name that day are left out before anything is parsed."""
+    from fraudlens.operators.warehouse import daily_slice, previous_day
+
+    return daily_slice(ingest_orders(raw.filter(may_be_on("created_date", previous_day(run_date)))), "created_date", run_date)
+
+
 def order_rejects(raw: DataFrame) -> DataFrame:
     """The rows :func:`ingest_orders` drops, each with its reason.
 
     Every raw column is part of the output, and the line's text where the line
     itself is bad.
     """
-    checked = _with_checks(raw).withColumn("reason", _reason())
-    return checked.filter(F.col("reason").isNotNull()).select(
-        *RAW_ORDER.fieldNames(), "reason", F.col("_raw_line").alias("raw_record")
-    )
+    columns = [F.col("_quantity").alias(c) if c == "quantity" else F.col(c) for c in RAW_ORDER.fieldNames()]
+    line = F.coalesce("_corrupt", F.to_json(F.struct(*RAW_ORDER.fieldNames())))
+    checked = _with_checks(raw).withColumn("reason", _reason()).filter(F.col("reason").isNotNull())
+    return checked.select(*columns, "reason", F.when(F.col("_bad_line"), line).alias("raw_record"))
 
 
 def clean_amount(raw: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ AS_OF = "2025-11-06 00:00:00"
 ORDERS_RUN_DATE = "1995-02-19"
 USERS_RUN_DATE = "2025-11-05"
 PRODUCTS_RUN_DATE = "2025-11-05"
-WINDOW_END = "1994-12-31"
+WINDOW_START, WINDOW_END = "1996-01-01", "1997-12-31"
 # -------------------------------------------------------------------------------
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,14 +59,18 @@ def q_order_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.order_rejects(adapter.raw_orders_replayed(load_tables(spark, sf_dir)))
 
 
+def q_ingest_iso_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose clock is spelled in each way of the ISO grammar."""
+    return ingest.ingest_orders(adapter.raw_orders_spelled(load_tables(spark, sf_dir)))
+
+
 def q_fraud_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = ingest.ingest_orders(adapter.raw_orders_replayed(load_tables(spark, sf_dir)))
     return ingest.fraud_rules(orders.distinct())
 
 
 def q_daily_slice_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = ingest.ingest_orders(adapter.raw_orders_replayed(load_tables(spark, sf_dir)))
-    return warehouse.daily_slice(orders, "created_date", ORDERS_RUN_DATE)
+    return ingest.ingest_day(adapter.raw_orders_replayed(load_tables(spark, sf_dir)), ORDERS_RUN_DATE)
 
 
 def q_daily_slice_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,6 +167,39 @@ def q_topic_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_topic_reject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.order_rejects(_topic_with_bad_lines(spark, sf_dir))
+
+
+def q_table_lifecycle_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table created twice, loaded with every user, then asked to load a day without
+    rows and a batch with a missing key: the rows, and what each step answered."""
+    import uuid
+
+    from fraudlens.plans.loads import backfill, daily_load, init_tables, table_path
+    from fraudlens.session import scratch_dir
+    from fraudlens.sources.warehouse import load_daily, read_warehouse
+
+    base, prefix = scratch_dir(spark, "lifecycle"), f"lifecycle_{uuid.uuid4().hex[:12]}_"
+    t = load_tables(spark, sf_dir)
+    users = adapter.raw_users(t)
+    created = init_tables(spark, f"{base}/tables", prefix)["users"]
+    again = init_tables(spark, f"{base}/tables", prefix)["users"]
+    loaded = backfill("users", users, f"{base}/warehouse")
+    empty = daily_load(spark, "users", users, "1980-01-01", f"{base}/warehouse")
+    keyless = users.withColumn("user_id", F.when(F.col("user_id") != "U1", F.col("user_id")))
+    try:
+        load_daily(keyless, table_path(f"{base}/warehouse", "users"), USERS, "created_date", table="users")
+        refused = False
+    except Exception as e:
+        if "required column" not in str(e):
+            raise
+        refused = True
+    rows = read_warehouse(spark, table_path(f"{base}/warehouse", "users"), USERS).drop(warehouse.PARTITION_COL)
+    answers = {"created": created, "created_again": again, "loaded": loaded, "loaded_empty_day": empty, "refused_missing_key": refused}
+    return spark.table(f"{prefix}users").unionByName(rows).withColumns({k: F.lit(v) for k, v in answers.items()})
+
+
 def q_json_extract_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fraudlens.session import scratch_dir
     from fraudlens.sources.warehouse import read_json_extract, write_json_extract
@@ -219,13 +256,14 @@ def q_windowed_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = load_tables(spark, sf_dir)
     backfill("orders", q_ingest_orders(spark, sf_dir), base)
     backfill("users", adapter.raw_users(t), base)
-    return build_models(warehouse_sources(spark, base, end_day=WINDOW_END), as_of=AS_OF)["mart_users_blacklist"]
+    return build_models(warehouse_sources(spark, base, WINDOW_START, WINDOW_END), as_of=AS_OF)["mart_users_blacklist"]
 
 
 QUERIES: dict[str, Query] = {
     "clean_amount": q_clean_amount,
     "ingest_orders": q_ingest_orders,
     "order_rejects": q_order_rejects,
+    "ingest_iso_dates": q_ingest_iso_dates,
     "fraud_rules": q_fraud_rules,
     "stg_orders": _model("stg_orders"),
     "stg_users": _model("stg_users"),
@@ -250,6 +288,8 @@ QUERIES: dict[str, Query] = {
     "stream_dedup": q_stream_dedup,
     "topic_ingest": q_topic_ingest,
     "topic_rejects": q_topic_rejects,
+    "topic_reject_rows": q_topic_reject_rows,
+    "table_lifecycle_users": q_table_lifecycle_users,
     "json_extract_products": q_json_extract_products,
     "warehouse_load_orders": q_warehouse_load_orders,
     "warehouse_rerun_users": q_warehouse_rerun_users,

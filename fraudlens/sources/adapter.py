@@ -104,6 +104,43 @@ def raw_orders_replayed(t: TableSet) -> DataFrame:
     return raw_orders_flagged(t).select(events).select("event.*")
 
 
+def raw_orders_spelled(t: TableSet) -> DataFrame:
+    """One raw event per order, its clock spelled in the ways the ISO grammar has: calendar
+    and week dates, with dashes or compact, with parts of a time, fractions and offsets;
+    every tenth one names a week that no year has."""
+    k = "o_orderkey"
+    clock = f"timestampadd(MINUTE, CAST({k} * 437 % 1440 AS INT), CAST(o_orderdate AS TIMESTAMP_NTZ))"
+    spelled = t["orders"].selectExpr(k, "o_custkey", f"CAST({clock} AS STRING) AS c", f"{clock} AS ts").selectExpr(
+        "*",
+        "regexp_replace(c, '[-: ]', '') AS packed",
+        "concat(CAST(extract(YEAROFWEEK FROM ts) AS STRING), '-W', lpad(CAST(weekofyear(ts) AS STRING), 2, '0')) AS week",
+        "CAST(weekday(ts) + 1 AS STRING) AS weekday",
+    )
+    forms = [
+        "regexp_replace(c, ' ', 'T')",
+        "concat(substr(packed, 1, 8), 'T', substr(packed, 9))",
+        "concat(week, '-', weekday, 'T', substr(c, 12))",
+        "concat(replace(week, '-', ''), weekday, 'T', substr(packed, 9, 4))",
+        "concat(substr(c, 1, 16), '+0700')",
+        "substr(packed, 1, 8)",
+        "week",
+        "concat(c, ',25Z')",
+        "concat(substr(packed, 1, 8), ' ', substr(packed, 9, 2), '-23:59')",
+        "concat(substr(week, 1, 4), '-W54-', weekday)",
+    ]
+    text = f"element_at(array({', '.join(forms)}), CAST({k} % {len(forms)} + 1 AS INT))"
+    return spelled.selectExpr(
+        f"CAST({k} AS STRING) AS order_id",
+        "concat('U', CAST(o_custkey AS STRING)) AS user_id",
+        "CAST(NULL AS STRING) AS product_id",
+        f"CAST({k} % 400 AS INT) AS quantity",
+        "'Rp.60,000,000' AS amount",
+        f"{_sql_pick(PAYMENT_CYCLE, f'{k} % 6')} AS payment_method",
+        "'ID' AS country",
+        f"{text} AS created_date",
+    )
+
+
 def raw_users(t: TableSet) -> DataFrame:
     """Operational user table: every customer."""
     return t["customer"].selectExpr(

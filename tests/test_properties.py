@@ -41,11 +41,11 @@ def test_counts_from_the_blueprint(tables):
     m = build_models(sources_from_tables(tables), as_of="2025-11-06 00:00:00")
     assert m["fct_orders"].count() == 5876
     assert m["mart_users_blacklist"].count() == 244
-    assert m["mart_users_fraud_mostly"].count() == 97
-    assert m["mart_user_product_habit"].count() == 5736
-    assert m["mart_product_payment"].count() == 1295
+    assert m["mart_users_fraud_mostly"].count() == 123
+    assert m["mart_user_product_habit"].count() == 5686
+    assert m["mart_product_payment"].count() == 1621
     labels = Counter(r.blacklist_status for r in m["mart_users_blacklist"].collect())
-    assert labels == {"Blacklist": 81, "Watchlist": 16, "Good Standing": 53}
+    assert labels == {"Blacklist": 104, "Watchlist": 19, "Good Standing": 121}
 
 
 def test_genuine_plus_fraud_is_total(tables):
@@ -66,7 +66,7 @@ def test_upsert_twice_is_once(tables):
     once = warehouse.upsert(first, repriced, "product_id")
     twice = warehouse.upsert(once, repriced, "product_id")
     assert rows(once) == rows(twice)
-    assert once.count() == 174
+    assert once.count() == 210
 
 
 def test_insert_if_absent_twice_is_once(tables):
@@ -75,7 +75,7 @@ def test_insert_if_absent_twice_is_once(tables):
     twice = warehouse.insert_if_absent(once, signups, "user_id", ["created_date"])
     assert rows(once) == rows(twice)
     # existing users untouched, new users take their earlier sign-up
-    assert once.select("user_id").distinct().count() == once.count() == 150
+    assert once.select("user_id").distinct().count() == once.count() == 180
     new = once.join(users, "user_id", "left_anti")
     assert new.filter(F.col("created_date") >= F.lit("2025-11-12").cast("timestamp_ntz")).count() == 0
 

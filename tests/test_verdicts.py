@@ -2,13 +2,12 @@
 
 import datetime as dt
 import os
-import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from fraudlens.functions.timefmt import parse_wall_clock
+from fraudlens.functions.timefmt import may_be_on, parse_wall_clock, with_wall_clock
 from fraudlens.operators import warehouse
 from fraudlens.operators.ingest import ingest_orders, order_rejects
 from fraudlens.operators.joins import checked_broadcast
@@ -31,24 +30,59 @@ def test_json_verdict_does_not_depend_on_the_columns(spark, tmp_dir):
     assert sorted(r[0] for r in bad.select("reason").collect()) == ["bad_json"] * 3 + ["too_long"] * 2
 
 
-pieces = st.sampled_from(["T", " ", "x", "", "Z", "+07:00", "+7", "+0700", "-23:59", "+25:00", ":", ".5", ",25", " Asia/Jakarta", "\n", ".1234567"])
-clock = st.sampled_from(["10:00:00", "1:2:3", "10:00", "10", "23:59:59", "24:00:01", "10:61:00", ""])
-texts = st.builds(lambda d, s, c, e, f: d + s + c + e + f, st.sampled_from(["2025-11-03", "2025-11-3", "2025-02-30", "0000-01-01", "2025-11"]), pieces, clock, pieces, pieces)
+DATES = ["2025-11-03", "20251103", "2025-11-3", "2025-02-30", "0000-01-01", "2025-11", "2025-W45", "2025-W45-1", "2025W45", "2025W451", "2020-W53-7",
+         "2025-W53-1", "9999-W52-7", "9999-W52-4", "0001-W01-1", "0000-W01-1", "2025-W00-1", "2025-W45-8", "2025-307", "9999-12-31"]
+PIECES = ["T", " ", "x", "Z", "+07:00", "+7", "+0700", "-23:59", "+25:00", "+2360", "+23:59:59.9", ":", ".", ",", "5", "123", "123456", "1234567", "10", "23",
+          "24", "61", "00:00", "10:00:00", "100000", " Asia/Jakarta", "\n", "\u00e9", "-", "+", "W"]
+texts = st.builds(lambda d, rest: d + "".join(rest), st.sampled_from(DATES), st.lists(st.sampled_from(PIECES), max_size=7))
+
+
+def iso(v):
+    try:
+        return dt.datetime.fromisoformat(v).replace(tzinfo=None)
+    except ValueError:
+        return None
+
+
+def parsed(spark, values):
+    rows = spark.createDataFrame([(v,) for v in values], "v string")
+    once = {r.v: r.t for r in with_wall_clock(rows, "v", "t").collect()}
+    assert once == {r.v: r.t for r in rows.select("v", parse_wall_clock("v").alias("t")).collect()}
+    return once
 
 
 @settings(max_examples=6, deadline=None)
-@given(st.lists(texts, min_size=40, max_size=120))
+@given(st.lists(texts, min_size=200, max_size=400))
 def test_dates_parse_as_the_iso_parser_does(spark, values):
-    def want(v):
-        if re.match(r".{11}[0-9]{2}(:[0-9]{2})?[.,]", v):
-            return None  # a fraction of an hour or minute: rejected here
-        try:
-            return dt.datetime.fromisoformat(v).replace(tzinfo=None)
-        except ValueError:
-            return None
-
-    rows = spark.createDataFrame([(v,) for v in values], "v string").select("v", parse_wall_clock("v").alias("t")).collect()
-    assert [(r.v, r.t) for r in rows] == [(v, want(v)) for v in values]
+    assert parsed(spark, values) == {v: iso(v) for v in values}
+
+
+def test_every_short_spelling_parses_as_the_iso_parser_does(spark):
+    """All pairs of pieces after each date, and digits in a row of any number."""
+    values = [d + a + b + c for d in DATES for a in ["", *PIECES] for b in ["", *PIECES] for c in ("", "Z")]
+    values += ["2025W45" + "1" * n + z for n in range(20) for z in ("", "Z", "T10")] + ["20251103" + "1" * n for n in range(20)]
+    values += ["", "x" * 300_000, "2025W45" + "1" * 100_000, "2025-11-03T10:00:00.123456" + "x" * 100_000 + "Z"]
+    found = parsed(spark, values)
+    assert found == {v: iso(v) for v in values}
+    assert sum(t is not None for t in found.values()) > 1000
+
+
+def test_a_day_is_named_by_its_prefixes(spark):
+    values = [d + t for d in DATES for t in ("", "T10", " 235959", "T10:00Z")]
+    rows = spark.createDataFrame([(v,) for v in values], "v string")
+    for day in ("2025-11-03", "2021-01-03", "9999-12-31", "0001-01-01", "2025-11-04"):
+        named = {r.v for r in rows.filter(may_be_on("v", day)).collect()}
+        assert {v for v in values if iso(v) and iso(v).date().isoformat() == day} <= named
+
+
+def test_a_date_is_parsed_once_whatever_is_filtered(tables):
+    from fraudlens.operators.ingest import ingest_day
+    from fraudlens.sources import adapter
+
+    raw = adapter.raw_orders_replayed(tables)
+    late = ingest_orders(raw).filter("created_date >= TIMESTAMP_NTZ '1996-01-01' AND hour(created_date) < 5")
+    for df in (late, ingest_day(raw, "1995-02-19"), order_rejects(raw)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("(?<moa>") == 1
 
 
 def test_one_clock_load_uses_several_tasks(spark, tmp_dir):
