@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlens.llm import bpe_codec, decontaminate, exact_dedup, line_dedup, ngram_join, quality, secret_scan, substring_dedup, token_counts, toxicity
+from fraudlens.llm import bpe_codec, decontaminate, exact_dedup, line_dedup, ngram_join, quality, secret_scan, substring_dedup, token_counts, toxicity, url_filter
 from fraudlens.llm.common import read_table, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+# --- fixed values: rules on page URLs (host, path, verdict) -----------------------
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+# -----------------------------------------------------------------------------------
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.url_filter(read_table(spark, sf_dir, "pages"), rules)
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_ngram_join": op2_ngram_join,
@@ -85,9 +101,29 @@ QUERIES: dict[str, Query] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_url_filter": op11_url_filter,
 }
 
 ORACLES: dict[str, str] = {
+    "op11_url_filter": """
+        WITH rules(rule_host, rule_path, verdict) AS (
+            VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+                   ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+        ), urls AS (
+            SELECT page_id,
+                   translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+            FROM pages
+        ), fitting AS (
+            SELECT host, path, arg_max({'rule': rule_host || rule_path, 'verdict': verdict}, len(rule_host || rule_path)) AS best
+            FROM (SELECT DISTINCT host, path FROM urls) AS u JOIN rules
+              ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+            GROUP BY host, path
+        )
+        SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict
+        FROM urls LEFT JOIN fitting USING (host, path)
+    """,
     "op1_substring_dedup": """
         WITH split AS (
             SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words
