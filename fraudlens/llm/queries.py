@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlens.llm import bpe_codec, decontaminate, exact_dedup, line_dedup, ngram_join, quality, secret_scan, substring_dedup, token_counts, toxicity, url_filter
+from fraudlens.llm import bpe_codec, decontaminate, exact_dedup, line_dedup, ngram_join, phrases, quality, secret_scan, spelling, substring_dedup, token_counts, toxicity, url_filter
 from fraudlens.llm.common import read_table, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +90,16 @@ def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(read_table(spark, sf_dir, "pages"), rules)
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return phrases.phrases(read_table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return spelling.spelling(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_ngram_join": op2_ngram_join,
@@ -102,9 +112,46 @@ QUERIES: dict[str, Query] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_toxicity": op10_toxicity,
     "op11_url_filter": op11_url_filter,
+    "op12_phrases": op12_phrases,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLES: dict[str, str] = {
+    "op12_phrases": """
+        WITH pieces AS (
+            SELECT lang, piece, list_filter(regexp_split_to_array(t, '[\\x20\\x09]+'), lambda x: x <> '') AS words
+            FROM (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS piece, unnest(regexp_split_to_array(
+                      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS t
+                  FROM documents)
+        ), totals AS (
+            SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM pieces GROUP BY lang
+        ), counts AS (
+            SELECT lang, p AS phrase, any_value(k) AS k, count(*) AS f
+            FROM (SELECT lang, k, unnest(list_transform(range(1, len(words) - k + 2), lambda i: array_to_string(words[i:i + k - 1], ' '))) AS p
+                  FROM pieces, range(1, 6) AS r(k))
+            GROUP BY lang, p HAVING count(*) >= 100
+        ), candidates AS (
+            SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS words FROM counts WHERE k > 1
+        ), cuts AS (
+            SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, n, cut,
+                   CAST((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+            FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) AS c
+            JOIN counts AS x ON x.lang = c.lang AND x.phrase = array_to_string(words[1:cut], ' ')
+            JOIN counts AS y ON y.lang = c.lang AND y.phrase = array_to_string(words[cut + 1:], ' ')
+            JOIN totals AS t ON t.lang = c.lang
+        ), lowest AS (
+            SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+        ), inside AS (
+            SELECT DISTINCT s.lang, s.phrase
+            FROM (SELECT lang, a, array_to_string(words[i:j], ' ') AS phrase
+                  FROM candidates, range(1, 6) AS x(i), range(1, 6) AS y(j) WHERE i < j AND j <= k AND j - i + 1 < k) AS s
+            JOIN candidates AS c ON c.lang = s.lang AND c.phrase = s.phrase WHERE 100 * s.a >= 100 * c.a
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+              FROM lowest ANTI JOIN inside USING (lang, phrase))
+        WHERE rank <= 2000
+    """,
     "op11_url_filter": """
         WITH rules(rule_host, rule_path, verdict) AS (
             VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
