@@ -18,6 +18,7 @@ import base64
 import hashlib
 import struct
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -88,32 +89,33 @@ class Codec:
         self.pattern = regex.compile(pattern)
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=serialise_model(self.ranks))
         self.token = sorted(self.ranks, key=self.ranks.get)
+        self.decimal = list(map(str, range(len(self.token))))
         self.kept: dict[str, list[int]] = {}
 
-    def encode(self, text: str) -> list[int]:
-        found = self.pattern.findall(text)
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """Ranks of each text.  Pre-tokens that are new are encoded by one call for all."""
+        found = [self.pattern.findall(t) for t in texts]
         kept = self.kept
-        new = [p for p in set(found) if p not in kept]
+        new = list(set().union(*found).difference(kept))
         own: dict[str, list[int]] = {}
         if new:
             raw = [p.encode("utf-8") for p in new]
             # a pre-token that is itself a token is never cut
-            whole = [self.ranks.get(b) for b in raw]
+            whole = list(map(self.ranks.get, raw))
+            own = {p: [r] for p, r in zip(new, whole, strict=True) if r is not None}
             rest = [i for i, r in enumerate(whole) if r is None]
             coded = self.pieces.encode([written_bytes(raw[i]) for i in rest], num_threads=1) if rest else []
-            for p, r in zip(new, whole, strict=True):
-                if r is not None:
-                    own[p] = [r]
-            for i, ids in zip(rest, coded, strict=True):
-                own[new[i]] = ids
+            own.update((new[i], ids) for i, ids in zip(rest, coded, strict=True))
             if len(kept) + len(own) > CACHE_ENTRIES:
-                # what this text needs stays; the others are encoded again when met
-                self.kept = kept = {p: kept[p] for p in set(found) if p in kept}
+                # what these texts need stays; the others are encoded again when met
+                self.kept = kept = {p: kept[p] for p in set().union(*found) if p in kept}
             kept.update((p, ids) for p, ids in own.items() if len(p) <= CACHE_CHARS)
-        out: list[int] = []
-        for p in found:
-            out += kept[p] if p in kept else own[p]
-        return out
+            if any(len(p) > CACHE_CHARS for p in new):
+                kept = kept | own
+        return [list(chain.from_iterable(map(kept.__getitem__, f))) for f in found]
+
+    def encode(self, text: str) -> list[int]:
+        return self.encode_all([text])[0]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
@@ -130,7 +132,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
 
     def run(batch: pa.RecordBatch) -> dict:
         c = codec(vocabulary, pattern)
-        return {"doc_id": batch.column("doc_id"), "ids": [c.encode(t) for t in batch.column("text").to_pylist()]}
+        return {"doc_id": batch.column("doc_id"), "ids": c.encode_all(batch.column("text").to_pylist())}
 
     return map_slices(texts_of(docs, id_col, text_col), run, "doc_id long, ids array<int>")
 
@@ -156,10 +158,9 @@ def round_trip(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "do
     def run(batch: pa.RecordBatch) -> dict:
         c = codec(vocabulary, pattern)
         n, of_ids, of_bytes = [], [], []
-        for text in batch.column("text").to_pylist():
-            ids = c.encode(text)
+        for ids in c.encode_all(batch.column("text").to_pylist()):
             n.append(len(ids))
-            of_ids.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+            of_ids.append(hashlib.sha256(" ".join(map(c.decimal.__getitem__, ids)).encode()).hexdigest())
             of_bytes.append(hashlib.sha256(c.decode(ids)).hexdigest())
         return {"doc_id": batch.column("doc_id"), "n_tokens": n, "ids_sha256": of_ids, "decoded_sha256": of_bytes}
 
