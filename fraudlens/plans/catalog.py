@@ -91,6 +91,31 @@ def q_insert_users_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.insert_if_absent(adapter.raw_users(t), adapter.user_signups(t), "user_id", ["created_date"])
 
 
+def q_keyed_upsert_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product merge on a bucketed table: all products, the repricing batch, and the same
+    batch again."""
+    from fraudlens.session import scratch_dir
+    from fraudlens.sources.keyed import KeyedTable
+
+    first, repriced = adapter.raw_products_versions(load_tables(spark, sf_dir))
+    table = KeyedTable(spark, scratch_dir(spark, "products"), PRODUCTS, "product_id")
+    for batch in (first, repriced, repriced):
+        table.upsert(batch)
+    return table.read()
+
+
+def q_keyed_insert_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user merge on a bucketed table: all users, the sign-ups, and these again."""
+    from fraudlens.session import scratch_dir
+    from fraudlens.sources.keyed import KeyedTable
+
+    t = load_tables(spark, sf_dir)
+    table = KeyedTable(spark, scratch_dir(spark, "users"), USERS, "user_id")
+    for batch in (adapter.raw_users(t), adapter.user_signups(t), adapter.user_signups(t)):
+        table.insert_if_absent(batch, ["created_date"])
+    return table.read()
+
+
 def q_email_styles(spark: SparkSession, sf_dir: str) -> DataFrame:
     profiles = adapter.customer_profiles(load_tables(spark, sf_dir))
     return compose.with_email(profiles, F.col("style"), digit="digit").select(
@@ -281,6 +306,8 @@ QUERIES: dict[str, Query] = {
     "daily_slice_products": q_daily_slice_products,
     "upsert_products": q_upsert_products,
     "insert_users_if_absent": q_insert_users_if_absent,
+    "keyed_upsert_products": q_keyed_upsert_products,
+    "keyed_insert_users": q_keyed_insert_users,
     "email_styles": q_email_styles,
     "product_names": q_product_names,
     "currency_string": q_currency_string,

@@ -15,6 +15,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fraudlens.sources.versions import VersionLog
 from fraudlens.operators import core, marts, staging
 
 STAGING = ("stg_orders", "stg_users", "stg_products")
@@ -147,25 +148,38 @@ def stored_graph(
 def run_models(spark: SparkSession, src: Sources, out_dir: str, as_of=None, select: tuple[str, ...] | None = None) -> dict[str, str]:
     """Full refresh: write core tables, then marts built on the written core.
 
-    Each table is overwritten at ``<out_dir>/<name>``; staging stays lazy
-    (views).  Returns ``name -> path``.  ``select`` limits which marts run
-    (the core layer is always built).
+    Each run writes to a folder of its own below ``out_dir`` and, when all its tables are
+    there, publishes their paths as the next version (:func:`current_models`).  A run that
+    fails leaves the version before it untouched, and no reader sees tables of two runs.
+    Staging stays lazy (views).  Returns ``name -> path``.  ``select`` limits which marts
+    run (the core layer is always built); the others stay those of the version before.
     """
+    import uuid
+
     out_dir = out_dir.rstrip("/")
+    log = VersionLog(spark, f"{out_dir}/versions")
+    number = log.number()
+    run_dir = f"{out_dir}/run-{uuid.uuid4().hex[:12]}"
     paths: dict[str, str] = {}
     graph = ModelGraph(src, as_of)
     for name in CORE:
-        paths[name] = f"{out_dir}/{name}"
-        graph[name].write.mode("overwrite").parquet(paths[name])
+        paths[name] = f"{run_dir}/{name}"
+        graph[name].write.parquet(paths[name])
     # marts are written as tables, which keep no row order: no global sorts
     stored = stored_graph(spark, paths, ordered=False)
     wanted = [name for name in MARTS if select is None or name in select]
     if {"mart_users_blacklist", "mart_users_fraud_mostly"} <= set(wanted):
         # the per-user totals feed two marts: aggregate the fact table once
-        flags_path = f"{out_dir}/_{USER_FLAGS}"
-        stored[USER_FLAGS].write.mode("overwrite").parquet(flags_path)
+        flags_path = f"{run_dir}/_{USER_FLAGS}"
+        stored[USER_FLAGS].write.parquet(flags_path)
         stored.provide(USER_FLAGS, spark.read.parquet(flags_path))
     for name in wanted:
-        paths[name] = f"{out_dir}/{name}"
-        stored[name].write.mode("overwrite").parquet(paths[name])
+        paths[name] = f"{run_dir}/{name}"
+        stored[name].write.parquet(paths[name])
+    log.publish(number + 1, {"tables": log.read(number).get("tables", {}) | paths})
     return paths
+
+
+def current_models(spark: SparkSession, out_dir: str) -> dict[str, str]:
+    """Paths of the tables of the last complete run, ``name -> path``; empty before one."""
+    return VersionLog(spark, f"{out_dir.rstrip('/')}/versions").read().get("tables", {})
