@@ -105,7 +105,7 @@ def test_phrases_are_counted_as_by_dictionaries(spark, monkeypatch, small):
     docs = [(r.choice([None, "en", "und", "dé"]), "".join(r.choice(ws[: r.choice((4, 15))]) + r.choice([" ", " ", "  ", "\t", ". ", "\n", "\r\n", ",", "!"])
             for _ in range(r.randrange(60)))) for _ in range(120)] + [("en", None), ("en", ""), (None, " ,\n"), ("en", "big new york city " * 4000), ("en", "y" * 300_000)]
     if small:  # containers burst, tries spill, long texts are cut
-        for name, value in (("BURST", 3), ("ENTRIES", 40), ("BATCH", 7), ("CHUNK", 50), ("PARTS", 2), ("PAIRS", 30)):
+        for name, value in (("BURST", 3), ("ENTRIES", 40), ("NUMBERED", 9), ("BATCH", 7), ("CHUNK", 50), ("PARTS", 2), ("PAIRS", 30)):
             monkeypatch.setattr(phrases, name, value)
         counter = phrases.Counter(np.full(phrases.BITMAP_BITS // 8, 255, np.uint8))
         runs = []
