@@ -30,7 +30,7 @@ from fraudlens.schemas import ORDERS, TABLES
 from fraudlens.sources import adapter
 from fraudlens.sources.tables import load_tables
 from fraudlens.sources.topic import publish_orders
-from fraudlens.streaming.ingest import start_order_ingest
+from fraudlens.streaming.ingest import read_published, start_order_ingest
 
 
 def run_all(spark: SparkSession, sf_dir: str, out: str, as_of=None) -> dict[str, str]:
@@ -76,6 +76,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     p = sub.add_parser("load", help="daily warehouse load of the day before --run-date")
     p.add_argument("--table", required=True, choices=sorted(TABLES))
     p.add_argument("--source", required=True, help="Parquet path of the operational table")
+    p.add_argument("--published", help="checkpoint folder of a single-pass ingest: read its published batches, not --source")
     p.add_argument("--warehouse", required=True)
     p.add_argument("--run-date", required=True)
     p.add_argument("--mode", default="append", choices=["append", "overwrite_days"])
@@ -114,7 +115,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         streams.await_all()
         result = {"orders": args.orders_out, "rejects": args.rejects_out}
     elif args.cmd == "load":
-        src = _read_table(spark, args.table, args.source)
+        src = read_published(spark, args.published) if args.published else _read_table(spark, args.table, args.source)
         loaded = daily_load(spark, args.table, src, args.run_date, args.warehouse, args.mode, args.interchange)
         result = {"table": args.table, "loaded": loaded}
     elif args.cmd == "merge":

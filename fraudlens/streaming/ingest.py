@@ -14,15 +14,21 @@ events (identical rows) that arrive within that delay of each other.
 from __future__ import annotations
 
 import time
+import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from fraudlens.operators.ingest import ingest_orders, order_rejects
-from fraudlens.schemas import ORDERS
+from fraudlens.schemas import ORDERS, RAW_ORDER
 from fraudlens.sources.topic import read_topic_stream
+from fraudlens.sources.versions import VersionLog, VersionTaken
+
+REJECTS = T.StructType([*RAW_ORDER.fields, T.StructField("reason", T.StringType()), T.StructField("raw_record", T.StringType())])
 
 # --- fixed values ------------------------------------------------------------
 POLL_INTERVAL = "500 milliseconds"    # how often an idle topic is polled
@@ -44,10 +50,34 @@ def _has_files(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and len(fs.listStatus(p)) > 0
 
 
+# --- fixed values: state of the replay drop, on disk beside the executors' heap -----
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
+# ---------------------------------------------------------------------------------------
+
+
+@contextmanager
+def _settings(spark: SparkSession, settings: dict[str, str]):
+    """The settings for what is started within; a query keeps those it was started with, and
+    a checkpoint its state store."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def dedup_replays(orders: DataFrame, delay: str) -> DataFrame:
     """Drop identical order rows that arrive again within ``delay`` of the first.
 
-    Full-row key: two different orders that share an order_id both stay.  The
+    Full-row key, so rows are told apart by their bytes: two different orders that
+    share an order_id both stay.  :func:`start_order_ingest` keeps the state in RocksDB.  The
     watermark runs on the arrival clock of the micro-batch, not on the event
     clock: a late original is never behind it, and an event dated in the far
     future doesn't move it.
@@ -88,29 +118,54 @@ class IngestStreams:
 BATCH_COL = "batch_id"
 
 
-def write_both(orders_out: str, rejects_out: str | None):
+def _batch_log(spark: SparkSession, checkpoint_dir: str) -> VersionLog:
+    return VersionLog(spark, f"{checkpoint_dir.rstrip('/')}/published")
+
+
+def write_both(orders_out: str, rejects_out: str | None, checkpoint_dir: str):
     """``foreachBatch`` function of the single-pass mode.
 
     The micro-batch is parsed once (persisted), then accepted orders and
-    rejects are written to ``<out>/batch_id=<n>``.  A retried batch has the
-    same id and the same input (the source logs its offsets before running
-    it), and overwriting its own folder makes the retry idempotent, so each
-    output stays exactly-once without a second read of the topic.
+    rejects are written to a folder of this attempt, ``<out>/batch_id=<n>/attempt=<id>``,
+    and published by one record for both.  A batch that is tried again (it has the same id
+    and the same input, as the source logs its offsets before running it) is published
+    once: what an attempt that died has left is in no record, and a batch that was published
+    before the failure isn't written again.  :func:`read_published` follows the records,
+    so it sees whole batches only.
     """
     from pyspark import StorageLevel
 
     def fn(batch: DataFrame, batch_id: int) -> None:
+        log = _batch_log(batch.sparkSession, checkpoint_dir)
+        if log.number() > batch_id:
+            return
+        attempt = f"{BATCH_COL}={batch_id}/attempt={uuid.uuid4().hex}"
+        record = {"orders": f"{orders_out}/{attempt}"}
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            ingest_orders(batch).write.mode("overwrite").parquet(f"{orders_out}/{BATCH_COL}={batch_id}")
+            ingest_orders(batch).write.parquet(record["orders"])
             if rejects_out:
-                order_rejects(batch).write.mode("overwrite").parquet(f"{rejects_out}/{BATCH_COL}={batch_id}")
+                record["rejects"] = f"{rejects_out}/{attempt}"
+                order_rejects(batch).write.parquet(record["rejects"])
         finally:
             batch.unpersist()
+        try:
+            log.publish(batch_id + 1, record)
+        except VersionTaken:
+            pass  # another attempt of this batch was first
 
     return fn
 
 
+def read_published(spark: SparkSession, checkpoint_dir: str, which: str = "orders") -> DataFrame:
+    """``orders`` or ``rejects`` of every batch that the single-pass mode has published."""
+    log = _batch_log(spark, checkpoint_dir)
+    records = [log.read(n) for n in range(1, log.number() + 1)]
+    schema = ORDERS if which == "orders" else REJECTS
+    paths = [r[which] for r in records if which in r]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
 def start_order_ingest(
     spark: SparkSession,
     topic_dir: str,
@@ -131,7 +186,7 @@ def start_order_ingest(
     checkpoints (``<checkpoint_dir>/orders``, ``<checkpoint_dir>/rejects``),
     each exactly-once on its own file sink (with its commit log).
     ``single_pass=True`` parses the topic once and writes both outputs from
-    one ``foreachBatch`` query into ``batch_id=<n>`` folders (see
+    one ``foreachBatch`` query, batches published as a whole (see
     :func:`write_both`); it does not combine with ``dedup_delay``.
     ``archive_dir`` moves consumed topic files away, which needs one reader: it goes
     with ``single_pass`` or without ``rejects_out`` only.
@@ -156,11 +211,12 @@ def start_order_ingest(
             raise ValueError("single_pass does not combine with dedup_delay")
         if _has_files(spark, orders_out) and not _has_files(spark, f"{ckpt}/both"):
             raise ValueError(f"{orders_out} holds data, but its checkpoint {ckpt}/both is missing")
-        w = raw.writeStream.foreachBatch(write_both(orders_out, rejects_out)).option("checkpointLocation", f"{ckpt}/both")
+        w = raw.writeStream.foreachBatch(write_both(orders_out, rejects_out, ckpt)).option("checkpointLocation", f"{ckpt}/both")
         return IngestStreams(_trigger(w).start(), None)
     orders = ingest_orders(raw)
     if dedup_delay:
         orders = dedup_replays(orders, dedup_delay)
-    q_orders = _start(orders, orders_out, "orders")
+    with _settings(spark, STATE_SETTINGS if dedup_delay else {}):
+        q_orders = _start(orders, orders_out, "orders")
     q_rejects = _start(order_rejects(raw), rejects_out, "rejects") if rejects_out else None
     return IngestStreams(q_orders, q_rejects)

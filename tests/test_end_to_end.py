@@ -93,7 +93,8 @@ def test_single_pass_output_feeds_the_daily_load(spark, tables, tmp_dir):
     main(["ingest", "--topic", topic, "--orders-out", orders, "--checkpoint", os.path.join(tmp_dir, "ck"),
           "--rejects-out", os.path.join(tmp_dir, "rejects"), "--once", "--single-pass"], spark)
     wh = os.path.join(tmp_dir, "wh")
-    assert main(["load", "--table", "orders", "--source", orders, "--warehouse", wh, "--run-date", "1995-02-19"], spark)["loaded"]
+    assert main(["load", "--table", "orders", "--source", orders, "--published", os.path.join(tmp_dir, "ck"),
+                 "--warehouse", wh, "--run-date", "1995-02-19"], spark)["loaded"]
     want = E.queries()["daily_slice_orders"](spark, SF_SMALL)
     got = warehouse_sources(spark, wh).orders
     assert _bag(got) == _bag(want)

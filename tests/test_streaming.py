@@ -9,7 +9,8 @@ from fraudlens.operators.ingest import ingest_orders, order_rejects
 from fraudlens.schemas import ORDERS
 from fraudlens.sources import adapter
 from fraudlens.sources.topic import publish_orders, read_topic
-from fraudlens.streaming.ingest import start_order_ingest
+from fraudlens.streaming import ingest as ingest_module
+from fraudlens.streaming.ingest import read_published, start_order_ingest, write_both
 
 
 def _rows(df):
@@ -79,13 +80,48 @@ def test_single_pass_mode_equals_two_queries(spark, tables, tmp_dir):
                            single_pass=True, max_files_per_trigger=2)
     s.await_all()
     two = spark.read.schema(ORDERS).parquet(a["orders"])
-    one = spark.read.parquet(b["orders"]).drop("batch_id")
+    one = read_published(spark, b["ckpt"])
     assert _rows(one.select(*ORDERS.fieldNames())) == _rows(two)
-    assert spark.read.parquet(b["rejects"]).count() == spark.read.parquet(a["rejects"]).count()
+    assert _rows(read_published(spark, b["ckpt"], "rejects")) == _rows(spark.read.parquet(a["rejects"]))
     # restart: nothing new, nothing added
     start_order_ingest(spark, topic, b["orders"], b["ckpt"], rejects_out=b["rejects"], available_now=True,
                        single_pass=True).await_all()
-    assert spark.read.parquet(b["orders"]).count() == two.count()
+    assert read_published(spark, b["ckpt"]).count() == spark.read.parquet(b["orders"]).count() == two.count()
+
+
+def test_no_reader_sees_a_batch_half_written(spark, tables, tmp_dir, monkeypatch):
+    out, rejects, ckpt = (os.path.join(tmp_dir, n) for n in ("orders", "rejects", "ckpt"))
+    raw = adapter.raw_orders(tables)
+    fn = write_both(out, rejects, ckpt)
+    fn(raw.limit(50), 0)
+    first = _rows(read_published(spark, ckpt))
+
+    def dies(batch):
+        raise RuntimeError("lost between the two outputs")
+
+    with monkeypatch.context() as m:
+        m.setattr(ingest_module, "order_rejects", dies)
+        with pytest.raises(RuntimeError):
+            fn(raw, 1)
+    assert spark.read.parquet(out).count() > len(first)  # orders of the dead attempt lie there
+    assert _rows(read_published(spark, ckpt)) == first
+    fn(raw, 1)  # tried again
+    fn(raw, 1)  # and again, after it was published
+    want = ingest_orders(raw.limit(50).unionByName(raw))
+    assert read_published(spark, ckpt).count() == want.count()
+    assert read_published(spark, ckpt, "rejects").count() == order_rejects(raw.limit(50).unionByName(raw)).count()
+
+
+def test_replay_state_outlives_a_restart_on_disk(spark, tables, tmp_dir):
+    topic, out, ckpt = (os.path.join(tmp_dir, n) for n in ("topic", "orders", "ck"))
+    raw = adapter.raw_orders(tables)
+    for _ in range(2):  # the same events again after the stream has ended
+        publish_orders(raw, topic)
+        start_order_ingest(spark, topic, out, ckpt, available_now=True, dedup_delay="1 day").await_all()
+    assert _rows(spark.read.schema(ORDERS).parquet(out)) == _rows(ingest_orders(raw).distinct())
+    state = [n for _, _, names in os.walk(f"{ckpt}/orders/state") for n in names]
+    assert any(n.endswith((".zip", ".changelog")) for n in state)  # RocksDB's files
+    assert "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) or "")
 
 
 def test_dedup_keeps_late_originals_and_far_dates(spark, tables, tmp_dir):
