@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudlens.operators import compose, ingest, warehouse
+from fraudlens.operators.position import with_position
 from fraudlens.plans.models import ModelGraph, Sources, build_models
 from fraudlens.schemas import ORDERS, PRODUCTS, USERS
 from fraudlens.sources import adapter
@@ -47,6 +48,28 @@ def _model(name: str) -> Query:
     return run
 
 
+#: The orders of the sorted marts (ascending, desc, or with nulls last), made total by further columns.
+POSITION_KEYS = {
+    "mart_payment_critical_time": ("fraud_orders desc", "payment_method"),
+    "mart_users_fraud_mostly": ("fraud_orders_count desc", "total_orders desc", "user_id", "first_name", "email"),
+    "mart_user_product_habit": ("total_orders desc", "first_name last", "user_id", "product_id", "email", "product_name"),
+}
+
+
+def _sort_key(key: str) -> Column:
+    name, _, way = key.partition(" ")
+    return {"desc": F.desc, "last": F.asc_nulls_last, "": F.asc}[way](name)
+
+
+def _positions(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        sources = sources_from_tables(load_tables(spark, sf_dir))
+        return with_position(ModelGraph(sources, AS_OF, ordered=False)[name], *map(_sort_key, POSITION_KEYS[name]))
+
+    run.__name__ = f"{name}_positions"
+    return run
+
+
 def q_clean_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.clean_amount(adapter.raw_orders(load_tables(spark, sf_dir)))
 
@@ -233,6 +256,43 @@ def q_json_extract_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_json_extract(spark, path, PRODUCTS)
 
 
+def q_json_array_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product extract as JSON arrays, read back by the reader that splits them."""
+    from fraudlens.session import scratch_dir
+    from fraudlens.sources.warehouse import read_json_extract, write_json_array_extract
+
+    path = write_json_array_extract(adapter.raw_products(load_tables(spark, sf_dir)), scratch_dir(spark, "extract"))
+    return read_json_extract(spark, path, PRODUCTS, json_array=True)
+
+
+def _polled_arrivals(spark: SparkSession, sf_dir: str) -> str:
+    """Events published at three hours, read by a poll after each of them; the checkpoint."""
+    from datetime import datetime
+
+    from fraudlens.session import scratch_dir
+    from fraudlens.streaming.arrivals import ingest_open, publish_arrivals
+
+    base = scratch_dir(spark, "arrivals")
+    raw = adapter.raw_orders_replayed(load_tables(spark, sf_dir))
+    for turn, hour in enumerate((1, 2, 9)):
+        now = datetime(2025, 11, 3, hour, 30)
+        publish_arrivals(raw.where(F.pmod(F.xxhash64("order_id"), F.lit(3)) == turn), f"{base}/topic", now)
+        ingest_open(spark, f"{base}/topic", f"{base}/orders", f"{base}/_checkpoints", now, f"{base}/rejects")
+    return f"{base}/_checkpoints"
+
+
+def q_arrival_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fraudlens.streaming.arrivals import read_arrivals
+
+    return read_arrivals(spark, _polled_arrivals(spark, sf_dir))
+
+
+def q_arrival_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fraudlens.streaming.arrivals import read_arrivals
+
+    return read_arrivals(spark, _polled_arrivals(spark, sf_dir), "rejects")
+
+
 def q_warehouse_load_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed, checked, day-partitioned load of every ingested order, read back."""
     from fraudlens.session import scratch_dir
@@ -301,6 +361,7 @@ QUERIES: dict[str, Query] = {
     "mart_users_fraud_mostly": _model("mart_users_fraud_mostly"),
     "mart_user_product_habit": _model("mart_user_product_habit"),
     "mart_product_payment": _model("mart_product_payment"),
+    **{f"{name}_positions": _positions(name) for name in POSITION_KEYS},
     "daily_slice_orders": q_daily_slice_orders,
     "daily_slice_users": q_daily_slice_users,
     "daily_slice_products": q_daily_slice_products,
@@ -318,6 +379,9 @@ QUERIES: dict[str, Query] = {
     "topic_reject_rows": q_topic_reject_rows,
     "table_lifecycle_users": q_table_lifecycle_users,
     "json_extract_products": q_json_extract_products,
+    "json_array_products": q_json_array_products,
+    "arrival_orders": q_arrival_orders,
+    "arrival_rejects": q_arrival_rejects,
     "warehouse_load_orders": q_warehouse_load_orders,
     "warehouse_rerun_users": q_warehouse_rerun_users,
     "staging_view_products": q_staging_view_products,

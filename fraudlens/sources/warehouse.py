@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from fraudlens.functions.timefmt import iso_text
 from fraudlens.operators.warehouse import PARTITION_COL, require_not_null, with_partition_day, with_schema
 from fraudlens.schemas import required_columns
-
+from fraudlens.sources.json_array import ROWS_PER_FILE, read_json_array, write_json_arrays
 
 
 def load_daily(
@@ -92,7 +92,17 @@ def create_table_if_absent(spark: SparkSession, name: str, schema: T.StructType,
 
 def write_json_extract(df: DataFrame, path: str) -> str:
     """Daily extract as JSON lines, timestamps as ISO-8601 text."""
-    out = df.select(
+    _iso_clocks(df).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    return path
+
+
+def write_json_array_extract(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> str:
+    """Daily extract as files of one JSON array each, timestamps as ISO-8601 text."""
+    return write_json_arrays(_iso_clocks(df), path, rows_per_file)
+
+
+def _iso_clocks(df: DataFrame) -> DataFrame:
+    return df.select(
         *[
             iso_text(F.col(f.name)).alias(f.name)
             if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))
@@ -100,20 +110,17 @@ def write_json_extract(df: DataFrame, path: str) -> str:
             for f in df.schema.fields
         ]
     )
-    out.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
-    return path
 
 
 def read_json_extract(spark: SparkSession, path: str, schema: T.StructType, json_array: bool = False) -> DataFrame:
     """Read a JSON extract back with the declared schema (timestamps parsed
     from their ISO text).  ``json_array=True`` reads files that hold one JSON
-    array of objects each (one file is then parsed by one task, so prefer
-    JSON lines for large extracts)."""
+    array of objects each; a large file is split between tasks."""
     as_text = T.StructType(
         [
             T.StructField(f.name, T.StringType()) if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)) else f
             for f in schema.fields
         ]
     )
-    raw = spark.read.schema(as_text).option("multiLine", "true" if json_array else "false").json(path)
+    raw = read_json_array(spark, path, as_text) if json_array else spark.read.schema(as_text).json(path)
     return with_schema(raw, schema)

@@ -157,12 +157,17 @@ def write_both(orders_out: str, rejects_out: str | None, checkpoint_dir: str):
     return fn
 
 
-def read_published(spark: SparkSession, checkpoint_dir: str, which: str = "orders") -> DataFrame:
-    """``orders`` or ``rejects`` of every batch that the single-pass mode has published."""
+def published_paths(spark: SparkSession, checkpoint_dir: str, which: str = "orders") -> list[str]:
+    """Folders of every batch that the single-pass mode has published."""
     log = _batch_log(spark, checkpoint_dir)
     records = [log.read(n) for n in range(1, log.number() + 1)]
+    return [r[which] for r in records if which in r]
+
+
+def read_published(spark: SparkSession, checkpoint_dir: str, which: str = "orders") -> DataFrame:
+    """``orders`` or ``rejects`` of every batch that the single-pass mode has published."""
     schema = ORDERS if which == "orders" else REJECTS
-    paths = [r[which] for r in records if which in r]
+    paths = published_paths(spark, checkpoint_dir, which)
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
