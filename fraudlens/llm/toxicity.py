@@ -27,13 +27,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fraudlens.llm.common import map_slices, restricted, sampled, texts_of
+from fraudlens.llm.common import map_slices, sampled, texts_of, written
 from fraudlens.llm.words import joined, mixed, owners, span_hashes, word_spans
 
 #: Labelled rows of each class in the training sample at most, and the longest
-#: text in it; what is scored has no limit.
+#: text in it; the bytes of a class's texts, about.  What is scored has no limit.
 SAMPLE_ROWS = 3000
 SAMPLE_CHARS = 200_000
+SAMPLE_BYTES = 48_000_000
 BUCKETS = 1 << 17  # rows of the table for each of the three hashes
 SIZE = 8
 WIDTHS = (1, 2, 3)
@@ -244,28 +245,42 @@ def best_threshold(logit: np.ndarray, target: np.ndarray, default: float, least:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str) -> DataFrame:
-    """Text and label of a bounded sample of labelled rows outside the held-out
-    fold: for each class the rows first in the order of a hash of the id, as far
-    as SAMPLE_ROWS go."""
+    """Text and label of a bounded sample of labelled documents outside the held-out
+    fold: for each class those with the least hashes of the id, as far as SAMPLE_ROWS
+    and SAMPLE_BYTES go.
+
+    Shares are of the labelled documents that have a text to learn from (labels of
+    ids that ``docs`` lacks don't count).  A class that has labelled documents, but none of
+    SAMPLE_CHARS or fewer, is an error.
+    """
     marked = (
         labels.where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull())
         .groupBy(F.col("doc_id").cast("bigint").alias("doc_id"))
         .agg(F.max(F.col(label_col).cast("int")).alias("target"))
         .where((fold(F.col("doc_id")) != 0) & F.col("target").isin(0, 1))
     )
-    sizes = {r["target"]: r["count"] for r in marked.groupBy("target").count().collect()}
+    sizes = docs.where("doc_id IS NOT NULL").select("doc_id", F.length("text").alias("chars"), F.octet_length("text").alias("bytes"))
+    marked = written(sizes.join(marked, "doc_id"), "labelled")
+    usable = F.col("chars") <= SAMPLE_CHARS
+    classes = marked.groupBy("target").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(usable).alias("usable"), F.sum(F.when(usable, F.col("bytes"))).alias("bytes")
+    )
     parts = []
-    for k, n in sizes.items():
-        part = marked.where(F.col("target") == k)
-        if n > SAMPLE_ROWS:
-            part = part.where(sampled(SAMPLE_ROWS / n, "doc_id")).limit(SAMPLE_ROWS * 5 // 4)
+    for k, rows, n, size in classes.collect():
+        if not n:
+            raise ValueError(f"each of the {rows} documents labelled {k} has more than {SAMPLE_CHARS} characters")
+        part = marked.where(usable & (F.col("target") == k)).select("doc_id", "target")
+        share = min(SAMPLE_ROWS / n, SAMPLE_BYTES / max(size, 1))
+        if share < 1:
+            part = part.where(sampled(share, "doc_id")).limit(SAMPLE_ROWS * 5 // 4)
             if part.isEmpty():
                 raise ValueError(f"no sample of the {n} rows labelled {k}")
         parts.append(part)
-    chosen = parts[0] if parts else marked.limit(0)
+    chosen = parts[0] if parts else marked.select("doc_id", "target").limit(0)
     for p in parts[1:]:
         chosen = chosen.unionByName(p)
-    texts = restricted(docs.where(F.length("text") <= SAMPLE_CHARS), chosen.select("doc_id"), "doc_id")
+    chosen = written(chosen.distinct(), "sample")  # rows that repeat an id share its label
+    texts = docs.where(F.length("text") <= SAMPLE_CHARS)
     return texts.join(F.broadcast(chosen), "doc_id").select(
         "doc_id", "text", "target", (fold(F.col("doc_id")) == LEFT_OUT).alias("left_out")
     )
