@@ -4,7 +4,9 @@ One array is one text without line ends to cut at.  It is read in pieces that en
 closing brace, which the text source splits at any byte range.  Whether a brace lies
 within a string, and how deep, follows from all that comes before; so each range is
 summed up for either case of its beginning, the ranges' sums are chained, and then
-every piece knows where it stands.  Most objects are one piece and are parsed where they were
+every piece knows where it stands.  The running sums are windows over one byte range each, which
+the split size bounds, and over the ranges of a file.  The numbered pieces are written once, as two
+readers follow, and a lost executor reads them again.  Most objects are one piece and are parsed where they were
 read; the pieces of objects with braces inside are put together by their number.
 """
 
@@ -14,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fraudlens.session import scratch_dir
+
 ROWS_PER_FILE = 50_000
 _LEAD = r"^[\s,\[\x{FEFF}]*"    # what may stand between two objects of an array
 
@@ -106,7 +110,10 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     row of nulls, as Spark's own JSON reader does in its permissive mode.  A file without
     objects gives no row.
     """
-    pieces = _numbered(_pieces(spark, path))
+    numbered = _numbered(_pieces(spark, path))
+    stored = scratch_dir(spark, "json-pieces")
+    numbered.write.parquet(stored)
+    pieces = spark.read.schema(numbered.schema).parquet(stored)
     whole = (F.col("depth_before") == 0) & (F.col("begins_within") == 0) & (F.col("closes") == 1)
     single = pieces.where(whole).select(F.concat("value", F.lit("}")).alias("text"))
     parts = pieces.where(~whole).groupBy("file", "number").agg(
