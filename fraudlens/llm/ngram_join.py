@@ -20,6 +20,12 @@ document allocates follows from cost:
 
 It suffices that one of two partners has allocated enough, as both index what
 either relies on.  Documents that meet in a bucket are compared by their words.
+One document of each class of equal sets is indexed.
+
+Before words are compared, sketches are: a sketch holds, for each of SKETCH_BITS parts
+of the universe, whether the set has an odd number of shingles in it.  Shared shingles
+cancel out, so two sets differ by at least as many shingles as their sketches by
+bits, and a pair with more than H such bits is no link.  That loses none.
 
 A bucket of many members first compares each with the first one only.  Links found
 are joined to components.  Where such a bucket still spans several components, its
@@ -27,9 +33,9 @@ members outside the largest component are paired with a member of it.  What is
 left goes by prefixes: all but H of a set's indexed segments are in each linked
 set, so two of them share one of their H + 1 rarest segments.  Of the buckets
 that are still open, a document needs the smallest only, as many as its other
-segments are short of H + 1.  Of the pairs in those, which are few, only such are
-compared whose differences to the bucket's first set are alike: the difference
-is a metric.  No link is lost by either.
+segments are short of H + 1.  Of the pairs in those, only such leave the join
+whose differences to the bucket's first set are alike (the difference is a
+metric) and whose sketches are.  No link is lost by either.
 
 Results in odd cases: null and empty texts have no shingles, link with
 nothing and are their own component; repeated rows and copies are one class;
@@ -41,13 +47,15 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudlens.llm.common import map_slices, restricted, texts_of, written
+from fraudlens.llm.common import map_slices, restricted, texts_of, without, written
 from fraudlens.llm.components import close_links, components, star_pairs
 from fraudlens.llm.words import joined, mixed, owners, rolling, span_hashes, word_spans
 
@@ -62,7 +70,10 @@ ALL_PAIRS = 12
 ROUNDS = 1
 #: Shingles of the sets that a verifying task keeps, about 100 bytes each.
 KEPT_SHINGLES = 500_000
+#: Bits of a set's sketch; sets of some thousands of shingles need the words.
+SKETCH_BITS = 1024
 _SALT = np.uint64(0xD6E8FEB86659FD93)
+_SKETCH_SALT = np.uint64(0xA0761D6478BD642F)
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -173,6 +184,29 @@ def lower_scheme(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return top, np.array([reach(int(s), int(t)) for s, t in zip(sizes, top, strict=True)], np.int64)
 
 
+def sketches(hashes: np.ndarray, of: np.ndarray, texts: int) -> np.ndarray:
+    """A row of 64-bit words for each text: the parity of its shingles in each part."""
+    part = mixed(hashes ^ _SKETCH_SALT) % np.uint64(SKETCH_BITS)
+    out = np.zeros((texts, SKETCH_BITS // 64), np.uint64)
+    np.bitwise_xor.at(out, (of, (part >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (part & np.uint64(63)))
+    return out.view(np.int64)
+
+
+def _alike(x: str, y: str, total: Column) -> Column:
+    """Whether two sketches differ by no more bits than linked sets do by shingles."""
+    apart = reduce(add, [F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(SKETCH_BITS // 64)])
+    return 9 * apart <= total
+
+
+def plausible(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Pairs (a, b) that sizes and sketches don't rule out; ``reps`` has doc_id,
+    n_shingles and sketch."""
+    for c in ("a", "b"):
+        pairs = pairs.join(reps.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")), c)
+    total = F.col("n_a") + F.col("n_b")
+    return pairs.where((9 * F.abs(F.col("n_a") - F.col("n_b")) <= total) & _alike("sketch_a", "sketch_b", total)).select("a", "b")
+
+
 def _facts(n: int):
     def run(batch: pa.RecordBatch) -> dict:
         texts = batch.column("text").to_pylist()
@@ -183,25 +217,19 @@ def _facts(n: int):
         _, _, slack = allocate(hashes, of, sizes, top, need)
         _, _, lower = allocate(hashes, of, sizes, *lower_scheme(sizes))
         digests = [hashlib.blake2b(hashes[edge[i] : edge[i + 1]].tobytes(), digest_size=16).digest() for i in range(len(texts))]
-        return {"doc_id": batch.column("doc_id"), "n_shingles": sizes, "digest": digests, "slack": slack, "lower_slack": lower}
+        sketch = pa.ListArray.from_arrays(np.arange(len(texts) + 1, dtype=np.int32) * (SKETCH_BITS // 64), pa.array(sketches(hashes, of, len(texts)).ravel()))
+        return {"doc_id": batch.column("doc_id"), "n_shingles": sizes, "digest": digests, "slack": slack, "lower_slack": lower, "sketch": sketch}
 
     return run
 
 
 def _keys(n: int):
     """Rows of key and member; a member is twice the id, plus one in the scheme of
-    the document's own band.  Of equal sets in a batch one is indexed."""
+    the document's own band."""
 
     def run(batch: pa.RecordBatch) -> dict:
         texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
         hashes, of = shingle_sets(texts, n)
-        edge = np.searchsorted(of, np.arange(len(texts) + 1))
-        seen: dict[bytes, int] = {}
-        for i in range(len(texts)):
-            seen.setdefault(hashes[edge[i] : edge[i + 1]].tobytes(), i)
-        single = np.zeros(len(texts), bool)
-        single[list(seen.values())] = True
-        hashes, of = hashes[single[of]], of[single[of]]
         sizes = np.bincount(of, minlength=len(texts))
         made = [allocate(hashes, of, sizes, *own_scheme(sizes)), allocate(hashes, of, sizes, *lower_scheme(sizes))]
         return {
@@ -265,29 +293,26 @@ def measured(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
 
 def links(docs: DataFrame, facts: DataFrame, n: int = WORDS) -> DataFrame:
     """Links (a, b) between classes of equal sets that have all components of the
-    exact join.  ``facts`` has doc_id, rep (of the class), n_shingles, slack and
-    lower_slack."""
+    exact join.  ``facts`` has doc_id, rep (of the class), n_shingles, slack,
+    lower_slack and sketch."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    docs = without(docs, facts.where("doc_id <> rep"), "doc_id")
+    reps = facts.where("doc_id = rep")
     met = written(star_pairs(map_slices(docs, _keys(n), "key long, member long"), "key", "member", ALL_PAIRS, partitions), "buckets")
-    class_of = facts.select("doc_id", "rep")
-
-    def by_class(rows: DataFrame, *columns: str) -> DataFrame:
-        for c in columns:
-            rows = rows.join(class_of.withColumnsRenamed({"doc_id": c, "rep": f"rep_{c}"}), c).drop(c).withColumnRenamed(f"rep_{c}", c)
-        return rows
-
     met = met.select("bucket", F.shiftright("a", 1).alias("a"), F.shiftright("b", 1).alias("b"), F.col("b").bitwiseAND(1).alias("own"))
-    first = by_class(met.select("a", "b").distinct(), "a", "b").where("a <> b")
-    tried = written(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    known = measured(tried, docs, n)
+    tried = met.where("a <> b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max(F.col("bucket").isNotNull()).alias("large"))
+    tried = written(tried, "pairs")
+    # differences to the first of a large bucket are needed, of linked sets or not
+    near = tried.where("large").select("a", "b").unionByName(plausible(tried.where("NOT large").select("a", "b"), reps))
+    tried = tried.select("a", "b")
+    known = measured(written(near, "near"), docs, n)
     found = known.where("linked").select("a", "b")
     large = met.where("bucket IS NOT NULL")
     if large.isEmpty():
         return found
 
     # members of large buckets with their difference to the bucket's first
-    reps = facts.where("doc_id = rep")
-    large = by_class(large, "a", "b").groupBy("bucket", F.col("a").alias("first"), F.col("b").alias("member")).agg(F.max("own").alias("own"))
+    large = large.groupBy("bucket", F.col("a").alias("first"), F.col("b").alias("member")).agg(F.max("own").alias("own"))
     large = large.withColumns({"a": F.least("first", "member"), "b": F.greatest("first", "member")})
     large = written(
         large.join(known.select("a", "b", "differ"), ["a", "b"], "left")
@@ -310,27 +335,32 @@ def links(docs: DataFrame, facts: DataFrame, n: int = WORDS) -> DataFrame:
         ranked = rows.join(size, "bucket").join(spare, ["member", "own"]).withColumns(
             {"used": F.count(F.lit(1)).over(mine), "turn": F.row_number().over(mine.orderBy("size", "bucket"))}
         )
-        prefix = written(ranked.where("turn <= used - slack").select("bucket", "member", "own", "component", "n", "differ"), "prefix")
-        x = prefix.where("own = 1").select("bucket", F.col("member").alias("a"), F.col("component").alias("of_a"), F.col("n").alias("n_a"), F.col("differ").alias("to_a"))
-        y = prefix.select("bucket", "own", F.col("member").alias("b"), F.col("component").alias("of_b"), F.col("n").alias("n_b"), F.col("differ").alias("to_b"))
+        short = ranked.where("turn <= used - slack").select("bucket", "member", "own", "component", "n", "differ")
+        prefix = written(short.join(reps.select(F.col("doc_id").alias("member"), "sketch"), "member"), "prefix")
+        x = prefix.where("own = 1").select("bucket", F.col("member").alias("a"), F.col("component").alias("of_a"), F.col("n").alias("n_a"), F.col("differ").alias("to_a"), F.col("sketch").alias("sketch_a"))
+        y = prefix.select("bucket", "own", F.col("member").alias("b"), F.col("component").alias("of_b"), F.col("n").alias("n_b"), F.col("differ").alias("to_b"), F.col("sketch").alias("sketch_b"))
         near = (9 * F.abs(F.col("n_a") - F.col("n_b")) <= F.col("n_a") + F.col("n_b")) & (
             9 * F.abs(F.col("to_a") - F.col("to_b")) <= F.col("n_a") + F.col("n_b")
         )
         apart = (F.col("of_a") < F.col("of_b")) | ((F.col("own") == 0) & (F.col("of_a") > F.col("of_b")))
-        return x.join(y, (x["bucket"] == y["bucket"]) & near & apart).select("a", "b")
+        alike = _alike("sketch_a", "sketch_b", F.col("n_a") + F.col("n_b"))
+        return x.join(y, (x["bucket"] == y["bucket"]) & near & apart & alike).select("a", "b")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return measured(written(plausible(pairs, reps), "near"), docs, n).where("linked").select("a", "b")
 
-    return close_links(large, found, tried, lambda pairs: measured(pairs, docs, n).where("linked").select("a", "b"), rest, ROUNDS)
+    return close_links(large, found, tried, linked, rest, ROUNDS)
 
 
 def ngram_join(docs: DataFrame, n: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest id that links reach) of
     each row."""
     docs = texts_of(docs, id_col, text_col)
-    facts = written(map_slices(docs, _facts(n), "doc_id long, n_shingles long, digest binary, slack long, lower_slack long"), "facts")
+    facts = written(map_slices(docs, _facts(n), "doc_id long, n_shingles long, digest binary, slack long, lower_slack long, sketch array<long>"), "facts")
     filled = facts.where("n_shingles > 0 AND doc_id IS NOT NULL")
     reps = filled.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     classes = written(
-        filled.join(reps, "digest").groupBy("doc_id", "rep").agg(*[F.min(c).alias(c) for c in ("n_shingles", "slack", "lower_slack")]),
+        filled.join(reps, "digest").groupBy("doc_id", "rep").agg(*[F.min(c).alias(c) for c in ("n_shingles", "slack", "lower_slack", "sketch")]),
         "classes",
     )
     label = components(links(docs.where("doc_id IS NOT NULL"), classes, n)).withColumnRenamed("node", "rep")
