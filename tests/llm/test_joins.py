@@ -58,6 +58,35 @@ def test_ngram_join_has_every_link(docs):
     same(ngram_join.ngram_join(docs), "op2_ngram_join", docs)
 
 
+def test_ngram_join_of_many_texts_that_are_alike(spark):
+    """Variants of one text, most of them below the threshold to each other: large
+    buckets whose members the sketches must tell apart without losing a link."""
+    r, base, rows = random.Random(17), words(120, 77), []
+    for i in range(60):
+        own = [w if r.random() > 0.06 else f"v{i}x{j}" for j, w in enumerate(base)]
+        for k in range(3):  # and near copies of each
+            own = own[:]
+            if k:
+                own[r.randrange(len(own))] = f"c{i}y{k}"
+            rows.append((1000 - len(rows) * 3, " ".join(own)))
+    texts = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    same(ngram_join.ngram_join(texts), "op2_ngram_join", texts)
+
+
+def test_sketches_differ_by_no_more_than_sets():
+    r = random.Random(3)
+    pool = words(400, 5)
+    texts = [" ".join(r.sample(pool, r.choice((0, 3, 5, 40, 300))) + pool[: r.choice((0, 50, 400))]) for _ in range(40)]
+    hashes, of = ngram_join.shingle_sets(texts, 5)
+    sets = [set(hashes[of == i].tolist()) for i in range(len(texts))]
+    rows = ngram_join.sketches(hashes, of, len(texts)).view(np.uint64)
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            apart = sum(int(w).bit_count() for w in rows[i] ^ rows[j])
+            assert apart <= len(x ^ y)
+            assert (apart == 0) or i != j
+
+
 def test_substring_dedup_is_exact(docs):
     same(substring_dedup.substring_dedup(docs), "op1_substring_dedup", docs)
     # hot minimisers are split by window
