@@ -13,10 +13,27 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fraudlens.schemas import CORRUPT_COL, RAW_ORDER, WIRE_ORDER
 
+# --- fixed values: files of a large publication ---------------------------------
+TOPIC_FILES = {
+    "compression": "gzip",                  # a tenth of the text; the extension tells the readers
+    "zlib.compress.level": "BEST_SPEED",
+    "maxRecordsPerFile": "200000",          # one task reads a compressed file, and tasks take files by their size
+}
+# -------------------------------------------------------------------------------
+
+
+def publish_orders(df: DataFrame, topic_dir: str, **files: str) -> None:
+    """Append raw order events to the topic as new JSON-lines files.
+
+    ``files`` are options of the writer; a large publication takes TOPIC_FILES.  Plain and
+    compressed files may lie side by side.
+    """
+    df.select(*RAW_ORDER.fieldNames()).write.mode("append").option("ignoreNullFields", "false").options(**files).json(topic_dir)
+
 
-def publish_orders(df: DataFrame, topic_dir: str) -> None:
-    """Append raw order events to the topic as new JSON-lines files."""
-    df.select(*RAW_ORDER.fieldNames()).write.mode("append").option("ignoreNullFields", "false").json(topic_dir)
+def publish_lines(df: DataFrame, topic_dir: str, **files: str) -> None:
+    """Append ready lines, whatever they hold, to the topic (``df`` has one text column)."""
+    df.write.mode("append").options(**files).text(topic_dir)
 
 
 def _reader(r):

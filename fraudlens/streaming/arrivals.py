@@ -26,9 +26,9 @@ GRACE_HOURS = 2    # a publisher may take so long to finish a file of its hour
 # -------------------------------------------------------------------------------
 
 
-def publish_arrivals(df: DataFrame, topic_dir: str, now: datetime) -> None:
+def publish_arrivals(df: DataFrame, topic_dir: str, now: datetime, **files: str) -> None:
     """Add raw order events to the folder of the hour ``now``."""
-    publish_orders(df, f"{topic_dir.rstrip('/')}/{PREFIX}{now.strftime(HOUR)}")
+    publish_orders(df, f"{topic_dir.rstrip('/')}/{PREFIX}{now.strftime(HOUR)}", **files)
 
 
 def _hours(spark: SparkSession, folder: str) -> list[str]:

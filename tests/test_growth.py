@@ -1,8 +1,14 @@
 """What must not grow with the tables: the sizes of partitions, files and batches."""
 
+import os
+
 import pytest
 
+from fraudlens import session
+from fraudlens.operators.ingest import ingest_orders, order_rejects
 from fraudlens.plans.catalog import QUERIES
+from fraudlens.sources import adapter
+from fraudlens.sources.topic import TOPIC_FILES, publish_lines, publish_orders, read_topic
 from tests.conftest import SF_SMALL
 
 
@@ -21,3 +27,28 @@ def test_joins_of_small_partitions_sort_no_side(spark, no_broadcast, name):
     assert df.count() == len(df.collect()) > 0
     plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def _files(folder):
+    return [os.path.join(d, n) for d, _, names in os.walk(folder) for n in names if not n.startswith((".", "_"))]
+
+
+@pytest.mark.parametrize("name", ["topic_ingest", "topic_rejects", "topic_reject_rows", "stream_ingest_orders", "arrival_orders"])
+def test_published_topic_takes_a_part_of_its_text(spark, tmp_dir, monkeypatch, name):
+    """The topic was written as plain text, the most of what these queries wrote."""
+    monkeypatch.setattr(session, "scratch_dir", lambda _spark, what: os.path.join(tmp_dir, what))
+    QUERIES[name](spark, SF_SMALL).count()
+    topic = [f for f in _files(tmp_dir) if f"{os.sep}topic{os.sep}" in f and "_checkpoints" not in f]
+    text = spark.read.text(topic).selectExpr("sum(octet_length(value) + 1)").first()[0]
+    assert 0 < sum(map(os.path.getsize, topic)) < text / 4
+
+
+def test_topic_of_plain_and_compressed_files(spark, tables, tmp_dir):
+    raw = adapter.raw_orders(tables)
+    publish_orders(raw, tmp_dir)
+    publish_orders(raw, tmp_dir, **{**TOPIC_FILES, "maxRecordsPerFile": "1000"})
+    publish_lines(spark.createDataFrame([("{broken",)], "value string"), tmp_dir, **TOPIC_FILES)
+    assert sum(f.endswith(".gz") for f in _files(tmp_dir)) > raw.count() / 1000
+    assert read_topic(spark, tmp_dir).count() == 2 * raw.count() + 1
+    assert ingest_orders(read_topic(spark, tmp_dir)).exceptAll(ingest_orders(raw.unionByName(raw))).isEmpty()
+    assert order_rejects(read_topic(spark, tmp_dir)).where("reason = 'bad_json'").count() == 1
