@@ -6,8 +6,10 @@ import pytest
 
 from fraudlens import session
 from fraudlens.operators.ingest import ingest_orders, order_rejects
+from fraudlens.plans import catalog
 from fraudlens.plans.catalog import QUERIES
 from fraudlens.sources import adapter
+from fraudlens.sources.tables import load_tables
 from fraudlens.sources.topic import TOPIC_FILES, publish_lines, publish_orders, read_topic
 from tests.conftest import SF_SMALL
 
@@ -52,3 +54,19 @@ def test_topic_of_plain_and_compressed_files(spark, tables, tmp_dir):
     assert read_topic(spark, tmp_dir).count() == 2 * raw.count() + 1
     assert ingest_orders(read_topic(spark, tmp_dir)).exceptAll(ingest_orders(raw.unionByName(raw))).isEmpty()
     assert order_rejects(read_topic(spark, tmp_dir)).where("reason = 'bad_json'").count() == 1
+
+
+def test_dedup_reads_files_and_batches_that_do_not_grow(spark, tmp_dir, monkeypatch):
+    """The topic was four files, however many the events."""
+    monkeypatch.setattr(session, "scratch_dir", lambda _spark, what: os.path.join(tmp_dir, what))
+    monkeypatch.setattr(catalog, "DEDUP_EVENTS_PER_FILE", 500, raising=False)
+    monkeypatch.setattr(catalog, "DEDUP_FILES_PER_BATCH", 4, raising=False)
+    got = QUERIES["stream_dedup"](spark, SF_SMALL)
+    raw = adapter.raw_orders_replayed(load_tables(spark, SF_SMALL))
+    assert got.count() == ingest_orders(raw).distinct().count()
+    assert got.exceptAll(ingest_orders(raw).distinct()).isEmpty()
+    base = os.path.join(tmp_dir, "stream-dedup")
+    sizes = [spark.read.text(f).count() for f in _files(f"{base}/topic")]
+    assert sum(sizes) == raw.count() and len(sizes) > 8 and max(sizes) < 1000
+    batches = [f for f in _files(f"{base}/_checkpoints/orders/commits") if os.path.basename(f).isdigit()]
+    assert len(batches) >= len(sizes) / 4
