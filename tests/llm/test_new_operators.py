@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,6 +131,24 @@ def test_phrases_are_counted_as_by_dictionaries(spark, monkeypatch, small):
     assert phrases.phrases(df.limit(0)).count() == 0 and phrases.phrases(df, 10**6).count() == 0
 
 
+@pytest.mark.parametrize("size", [1, 2, 7, 1000])
+def test_runs_are_merged_across_batches(size):
+    """Whole batches are added up at once: equal phrases over many batches, rare ones dropped last."""
+    r = random.Random(size)
+    rows = sorted((r.choice(["a", "a b", "a b c", "b", "é"]), r.choice(["de", "en"]), 1 + r.randrange(3)) for _ in range(60))
+    batches = [pa.RecordBatch.from_arrays(
+        [pa.array([x[1] for x in rows[i : i + size]]), pa.array([x[0] for x in rows[i : i + size]]),
+         pa.array([len(x[0].split()) for x in rows[i : i + size]], pa.int32()), pa.array([x[2] for x in rows[i : i + size]], pa.int64())],
+        names=["lang", "phrase", "words", "f"]) for i in range(0, len(rows), size)]
+    want = Counter()
+    for phrase, lang, n in rows:
+        want[lang, phrase, len(phrase.split())] += n
+    for least in (1, 12, 10**6):
+        got = [tuple(x.values()) for b in phrases._merged(iter(batches), least) for x in b.to_pylist()]
+        assert sorted(got) == sorted((*k, n) for k, n in want.items() if n >= least)
+    assert list(phrases._merged(iter([]))) == [] == list(phrases._merged(iter([batches[0].slice(0, 0)])))
+
+
 def test_scores_pass_64_bits(spark):
     big = 3 * 10**15
     counts = spark.createDataFrame([("en", "a", 1, big + 1), ("en", "b", 1, big + 7), ("en", "a b", 2, big)], "lang string, phrase string, words int, f long")
