@@ -55,7 +55,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudlens.llm.common import map_slices, restricted, texts_of, without, written
+from fraudlens.llm.common import map_slices, release_unused, restricted, texts_of, without, written
 from fraudlens.llm.components import close_links, components, star_pairs
 from fraudlens.llm.words import joined, mixed, owners, rolling, span_hashes, word_spans
 
@@ -274,6 +274,7 @@ def _verify(n: int):
                 [pa.array([f[i] for f in found], pa.bool_() if i == 3 else pa.int64()) for i in range(4)],
                 names=["a", "b", "differ", "linked"],
             )
+        release_unused()
 
     return run
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from fraudlens.llm import phrases, spelling, url_filter
+from fraudlens.llm import common, ngram_join, phrases, spelling, url_filter
 
 RULES = [("com", "/", "allow"), ("Example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"),
          ("a.b.c", "/x", "block"), ("c", "/xyz", "allow"), ("c", "", "block"), ("net", "/es/", "allow"), ("co", "", "block")]
@@ -222,3 +222,20 @@ def test_the_index_finds_what_a_scan_finds():
             fixed = (lambda v, w=w, half=half: v.startswith(w[:half])) if side == "first" else (lambda v, w=w, half=half: v.endswith(w[half:]))
             want = {v for v in edits(w, "abc") & set(vocabulary) if len(v) >= len(w) and fixed(v)}
             assert want <= {b for a, b in found if a == w} <= edits(w, "abc")
+
+
+def test_workers_give_memory_back_at_the_end_of_a_task(spark, monkeypatch):
+    """Once for each task, after its last batch, by every Arrow function of the pipeline."""
+    given = []
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["a b"]})
+
+    class Rows:
+        sparkSession = spark
+
+        def mapInArrow(self, run, schema):
+            return list(run(iter([batch, batch])))
+
+    for module in (common, ngram_join):
+        monkeypatch.setattr(module, "release_unused", lambda: given.append(1))
+    assert len(common.map_slices(Rows(), lambda b: {"doc_id": b.column("doc_id")}, "doc_id long")) == 2 and len(given) == 1
+    assert list(ngram_join._verify(5)(iter([]))) == [] and len(given) == 2
