@@ -29,6 +29,7 @@ USER_CLOCK_START = "2025-11-01 00:00:00"
 PRODUCT_CLOCK_START = "2025-11-01 00:00:00"
 PRODUCT_REPRICE_START = "2025-11-20 00:00:00"
 DEFAULT_PAYMENT_CYCLE = ["OVO", "Paylater", "Credit Card"]
+REPLAYED_EVERY = 50    # events of orders with such a key are published twice
 # -----------------------------------------------------------------------------
 
 RAW_COLUMNS = ["order_id", "user_id", "product_id", "quantity", "amount", "payment_method", "country", "created_date"]
@@ -51,20 +52,32 @@ def _sql_pick(values: list[str], index_sql: str) -> str:
     return f"element_at(array({', '.join(_sql_str(v) for v in values)}), CAST(({index_sql}) + 1 AS INT))"
 
 
+def _order_lines(t: TableSet) -> DataFrame:
+    return t["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+
+
+def _buyers(t: TableSet) -> DataFrame:
+    orders = t["orders"].select("o_orderkey", "o_custkey", "o_orderdate")
+    customer = t["customer"].select("c_custkey", "c_nationkey")
+    return orders.join(customer, orders.o_custkey == customer.c_custkey)
+
+
 def raw_orders_flagged(t: TableSet) -> DataFrame:
     """Raw order events plus a ``replayed`` flag (events published twice).
 
     orders is joined to customer first (orders-sized shuffle on custkey),
     then to lineitem on orderkey, so the lineitem-sized side is shuffled once.
+    """
+    li, buyer = _order_lines(t), _buyers(t)
+    return _events(li.join(buyer, li.l_orderkey == buyer.o_orderkey))
+
+
+def _events(j: DataFrame) -> DataFrame:
+    """Order lines with their buyers -> raw events, flagged.
+
     The event columns are SQL expressions (``selectExpr``): one call builds
     the whole projection instead of hundreds of small Column objects.
     """
-    orders = t["orders"].select("o_orderkey", "o_custkey", "o_orderdate")
-    customer = t["customer"].select("c_custkey", "c_nationkey")
-    buyer = orders.join(customer, orders.o_custkey == customer.c_custkey)
-    li = t["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-    j = li.join(buyer, li.l_orderkey == buyer.o_orderkey)
-
     k = "l_orderkey"
     amount_value = f"CAST(floor(l_extendedprice * CASE WHEN {k} % 40 IN (0, 2) THEN 5000 ELSE 400 END) AS BIGINT)"
     event_clock = f"timestampadd(HOUR, CAST(({k} * 7 + l_linenumber * 5) % 24 AS INT), CAST(o_orderdate AS TIMESTAMP_NTZ))"
@@ -83,7 +96,7 @@ def raw_orders_flagged(t: TableSet) -> DataFrame:
         # the wall clock as ISO text: NTZ -> STRING involves no time zone
         f"CASE WHEN {k} % 107 = 0 THEN {_sql_str(BAD_DATE)} "
         f"ELSE regexp_replace(CAST({event_clock} AS STRING), ' ', 'T') END AS created_date",
-        f"{k} % 50 = 0 AS replayed",
+        f"{k} % {REPLAYED_EVERY} = 0 AS replayed",
     )
 
 
@@ -104,6 +117,24 @@ def raw_orders_replayed(t: TableSet) -> DataFrame:
     return raw_orders_flagged(t).select(events).select("event.*")
 
 
+def raw_orders_dealt(t: TableSet) -> DataFrame:
+    """The rows of :func:`raw_orders_replayed`, the two copies of an event in different
+    partitions (as long as nothing merges the partitions of the join).
+
+    A line is copied before the join, which shuffles it by its order and the number of the
+    copy: no whole event is shuffled to deal it.
+    """
+    copies = F.array(F.lit(0)), F.array(F.lit(0), F.lit(1))
+
+    def copy(key: str) -> Column:
+        return F.explode(F.when(F.col(key) % REPLAYED_EVERY == 0, copies[1]).otherwise(copies[0]))
+
+    li = _order_lines(t).select("*", copy("l_orderkey").alias("l_copy"))
+    buyer = _buyers(t).select("*", copy("o_orderkey").alias("o_copy"))
+    j = li.join(buyer, (li.l_orderkey == buyer.o_orderkey) & (li.l_copy == buyer.o_copy))
+    return _events(j).select(*RAW_COLUMNS)
+
+
 def raw_orders_spelled(t: TableSet) -> DataFrame:
     """One raw event per order, its clock spelled in the ways the ISO grammar has: calendar
     and week dates, with dashes or compact, with parts of a time, fractions and offsets;

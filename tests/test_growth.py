@@ -1,8 +1,11 @@
 """What must not grow with the tables: the sizes of partitions, files and batches."""
 
 import os
+import time
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from fraudlens import session
 from fraudlens.operators.ingest import ingest_orders, order_rejects
@@ -11,6 +14,7 @@ from fraudlens.plans.catalog import QUERIES
 from fraudlens.sources import adapter
 from fraudlens.sources.tables import load_tables
 from fraudlens.sources.topic import TOPIC_FILES, publish_lines, publish_orders, read_topic
+from fraudlens.streaming.ingest import settings
 from tests.conftest import SF_SMALL
 
 
@@ -70,3 +74,42 @@ def test_dedup_reads_files_and_batches_that_do_not_grow(spark, tmp_dir, monkeypa
     assert sum(sizes) == raw.count() and len(sizes) > 8 and max(sizes) < 1000
     batches = [f for f in _files(f"{base}/_checkpoints/orders/commits") if os.path.basename(f).isdigit()]
     assert len(batches) >= len(sizes) / 4
+
+
+def _shuffle_files(spark):
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f: os.path.getsize(f) for d in dirs for f in _files(d) if os.path.basename(f).startswith("shuffle_")}
+
+
+def test_dedup_leaves_no_shuffle_and_packs_its_state(spark, tmp_dir, monkeypatch):
+    """The shuffles of the join, the dealing and every micro-batch lay there until the driver's heap
+    was collected; the log of the state took over 80 bytes a row."""
+    monkeypatch.setattr(session, "scratch_dir", lambda _spark, what: os.path.join(tmp_dir, what))
+    before = _shuffle_files(spark)
+    rows = QUERIES["stream_dedup"](spark, SF_SMALL)
+    topic = sum(map(os.path.getsize, _files(os.path.join(tmp_dir, "stream-dedup", "topic"))))
+    for _ in range(50):
+        left = sum(size for f, size in _shuffle_files(spark).items() if f not in before)
+        if left < topic / 50:
+            break
+        time.sleep(0.1)
+    assert left < topic / 50
+    logs = [f for f in _files(os.path.join(tmp_dir, "stream-dedup", "_checkpoints")) if f.endswith(".changelog")]
+    assert 0 < sum(map(os.path.getsize, logs)) < 70 * rows.count()
+    assert all(".zstd." in f for f in _files(os.path.join(tmp_dir, "stream-dedup", "orders")) if f.endswith(".parquet"))
+
+
+def test_events_are_dealt_by_the_shuffle_of_their_join(spark, tables, no_broadcast):
+    """Whole events were shuffled once more to deal them."""
+    replayed = adapter.raw_orders_replayed(tables)
+    with settings(spark, {**catalog.DEALING, "spark.sql.shuffle.partitions": "64"}):
+        dealt = adapter.raw_orders_dealt(tables)
+        rows = [tuple(r) for r in dealt.withColumn("part", F.spark_partition_id()).collect()]
+        plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == replayed._jdf.queryExecution().executedPlan().toString().count("Exchange")
+    assert Counter(r[:-1] for r in rows) == Counter(tuple(r) for r in replayed.collect())
+    parts = {}
+    for r in rows:
+        parts.setdefault(r[:-1], []).append(r[-1])
+    copies = [p for p in parts.values() if len(p) > 1]
+    assert copies and sum(len(set(p)) == len(p) for p in copies) > 0.8 * len(copies)
