@@ -113,3 +113,17 @@ def test_events_are_dealt_by_the_shuffle_of_their_join(spark, tables, no_broadca
         parts.setdefault(r[:-1], []).append(r[-1])
     copies = [p for p in parts.values() if len(p) > 1]
     assert copies and sum(len(set(p)) == len(p) for p in copies) > 0.8 * len(copies)
+
+
+def test_more_files_than_asked_for_make_no_more_batches(spark, tmp_dir, monkeypatch):
+    """Batches were of half of the files asked for: 20 of 40 files where 4 were asked for."""
+    dealt = adapter.raw_orders_dealt
+    monkeypatch.setattr(session, "scratch_dir", lambda _spark, what: os.path.join(tmp_dir, what))
+    monkeypatch.setattr(adapter, "raw_orders_dealt", lambda t: dealt(t).repartition(40))
+    got = QUERIES["stream_dedup"](spark, SF_SMALL)
+    raw = adapter.raw_orders_replayed(load_tables(spark, SF_SMALL))
+    assert got.count() == ingest_orders(raw).distinct().count()
+    base = os.path.join(tmp_dir, "stream-dedup")
+    assert len(_files(f"{base}/topic")) == 40
+    commits = [f for f in _files(f"{base}/_checkpoints/orders/commits") if os.path.basename(f).isdigit()]
+    assert 2 <= len(commits) <= 4
